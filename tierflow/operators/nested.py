@@ -23,13 +23,20 @@ from tierflow.common import current
 VARIANTS = "array<variant>"
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value worked out once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def opened(node: Column) -> Column:
     """A VARIANT; if it is a string that holds an object or a list, what it holds."""
-    text = F.try_variant_get(node, "$", "string")
-    is_string = F.schema_of_variant(node) == "STRING"
-    inner = F.try_parse_json(text)
-    holds = F.schema_of_variant(inner).rlike("^(OBJECT|ARRAY)")
-    return F.when(is_string & F.coalesce(holds, F.lit(False)), inner).otherwise(node)
+
+    def held(n: Column) -> Column:
+        text = F.try_variant_get(n, "$", "string")
+        holds = (F.schema_of_variant(n) == "STRING") & text.rlike(r"^\s*[\[{]")
+        return F.when(F.coalesce(holds, F.lit(False)), F.coalesce(F.try_parse_json(text), n)).otherwise(n)
+
+    return let(node, held)
 
 
 def field(node: Column, key: str) -> Column:
@@ -39,9 +46,12 @@ def field(node: Column, key: str) -> Column:
 
 def entries(node: Column) -> Column:
     """The array<variant> of a node: NULL and JSON null have none, others are lists of one."""
-    none = node.isNull() | F.is_variant_null(node)
-    is_list = F.schema_of_variant(node).startswith("ARRAY")
-    return F.when(none, F.array().cast(VARIANTS)).when(is_list, F.try_variant_get(node, "$", VARIANTS)).otherwise(F.array(node))
+
+    def listed(n: Column) -> Column:
+        none = n.isNull() | F.coalesce(F.is_variant_null(n), F.lit(False))
+        return F.when(none, F.array().cast(VARIANTS)).otherwise(F.coalesce(F.try_variant_get(n, "$", VARIANTS), F.array(n)))
+
+    return let(node, listed)
 
 
 def present(entry: Column) -> Column:
@@ -87,10 +97,12 @@ def children(recs: DataFrame) -> DataFrame:
     )
 
     def word_at(stress: Column) -> Column:
-        at = F.try_variant_get(stress, "$.words_align_idx", "bigint")
-        whole = F.try_variant_get(stress, "$.words_align_idx", "double") == at
-        there = (at >= 0) & (at < F.size("words_align")) & whole
-        return F.when(F.coalesce(there & present(F.get("words_align", F.when(there, at).cast("int"))), F.lit(False)), at).otherwise(-1)
+        def in_words(at: Column) -> Column:
+            whole = (at == F.floor(at)) & (at >= 0) & (at < F.size("words_align"))
+            there = present(F.get("words_align", F.when(whole, at).cast("int")))
+            return F.when(F.coalesce(whole & there, F.lit(False)), at.cast("int")).otherwise(-1)
+
+        return let(F.try_variant_get(stress, "$.words_align_idx", "double"), in_words)
 
     roles = F.flatten(
         F.transform(
