@@ -19,15 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.common import current
+from tierflow.functions.values import let
 
 VARIANTS = "array<variant>"
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with the value worked out once, however often body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def opened(node: Column) -> Column:
     """A VARIANT; if it is a string that holds an object or a list, what it holds."""
 
