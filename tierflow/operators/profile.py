@@ -49,10 +49,11 @@ def box_stats(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """bin (1..bins), n over equal widths between min and max; the last bin holds the max."""
     ends = df.agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
-    place = F.least(F.floor((value - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * bins) + 1, F.lit(bins))
+    width = (F.col("_hi") - F.col("_lo")) / bins
+    place = F.when(width > 0, F.least(F.floor((value - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins) + 1, F.lit(bins))).otherwise(1)
     return (
         df.where(value.isNotNull()).crossJoin(F.broadcast(ends))  # one row
-        .groupBy(F.coalesce(place, F.lit(1)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     )
 
 
