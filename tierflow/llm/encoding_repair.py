@@ -151,7 +151,7 @@ class Model:
         self.known: dict[str, tuple[float, float, float]] = {}
         utf8, singles = chains()
         if weights:  # chains without weight need no test
-            used = {re.split(r"[*-]\d*$", c)[0] for c in weights[None]}
+            used = {re.sub(r"(\*\d+)?-?$", "", c) for c in weights[None]}
             utf8, singles = ([c for c in cs if c.name in used] for cs in (utf8, singles))
         self.utf8 = utf8
         # what one character gains under a table, and the characters worth a test
