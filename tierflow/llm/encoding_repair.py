@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import functools
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -64,9 +65,13 @@ MAX_SOURCES = 1000
 SPACES = " \n\r\t"
 PUNCTUATION = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~„“”‘’–—…•«»"
 LOST = "lost"
+#: Sources beyond the named ones share these weights.
+OTHER = "\x00other"
 #: Words that are odd whatever their letters: capitals after small letters, two scripts; each costs ODD.
 MIXED_CASE = re.compile("[a-zß-öø-ÿа-џšžčćđłńśźżąęěřůňťď][A-ZÀ-ÖØ-ÞЀ-ЯŠŽČĆĐŁŃŚŹŻĄĘĚŘŮŇŤĎ]")
 LATIN, CYRILLIC, ODD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]"), re.compile("[Ѐ-ԯ]"), 20.0
+#: Most words whose evidence is worked out before the repair and handed to its tasks.
+READY_WORDS = 20_000
 #: Start of the weight of each chain.
 PRIOR = 1e-3
 
@@ -142,6 +147,7 @@ class Model:
     """Language model of clean text (hashed counts) and chain weights."""
 
     def __init__(self, chars: dict[str, float], tables: np.ndarray, weights: dict[str | None, dict[str, float]]) -> None:
+        self.counts = chars
         self.total_chars = sum(chars.values()) + 1.0
         self.chars = {c: math.log((n + 0.01) / self.total_chars) for c, n in chars.items()}
         self.no_char = math.log(0.01 / self.total_chars)
@@ -149,9 +155,10 @@ class Model:
         self.total_words = float(self.words.sum()) + 1.0
         self.weights = weights
         self.known: dict[str, tuple[float, float, float]] = {}
+        self.ready: dict[str, dict] = {}
         utf8, singles = chains()
         if weights:  # chains without weight need no test
-            used = {re.sub(r"(\*\d+)?-?$", "", c) for c in weights[None]}
+            used = {re.sub(r"(\*\d+)?-?$", "", c) for c in weights[OTHER]}
             utf8, singles = ([c for c in cs if c.name in used] for cs in (utf8, singles))
         self.utf8 = utf8
         # what one character gains under a table, and the characters worth a test
@@ -165,8 +172,22 @@ class Model:
             unsafe |= {c for c in chain.leads if self.char(c) < math.log(2e-3)}
         self.suspicious = re.compile(f"[{''.join(map(re.escape, sorted(unsafe)))}]")
 
+    def __getstate__(self) -> tuple:
+        """What a broadcast holds: counts that aren't 0, compressed."""
+        tables = np.stack([self.words, self.again, self.three, self.two]).ravel()
+        at = np.flatnonzero(tables).astype(np.int32)
+        ready = zlib.compress(pickle.dumps(self.ready), 1)
+        return self.counts, zlib.compress(at.tobytes(), 1), zlib.compress(tables[at].tobytes(), 1), self.weights, ready
+
+    def __setstate__(self, state: tuple) -> None:
+        chars, at, values, weights, ready = state
+        tables = np.zeros(4 * BUCKETS, np.float32)
+        tables[np.frombuffer(zlib.decompress(at), np.int32)] = np.frombuffer(zlib.decompress(values), np.float32)
+        self.__init__(chars, tables.reshape(4, BUCKETS), weights)
+        self.ready = pickle.loads(zlib.decompress(ready))
+
     def char(self, c: str) -> float:
-        return self.chars.get(c.lower(), self.no_char) if ord(c[0]) > 127 else -3.5
+        return self.chars.get(c.lower(), self.no_char) if c > "\x7f" else -3.5
 
     def count(self, key: str) -> float:
         """Of a word; the smaller of two hashed counts, as others may share its buckets."""
@@ -228,11 +249,12 @@ class Model:
             r = chain.undo(word)
             if r != word:
                 for again in (1, 2):
-                    twice = [c.undo(r) for c in utf8 if not c.leads.isdisjoint(r)]
-                    twice = [t for t in twice if t != r and len(t) < len(r)]
+                    twice = {c.undo(r) for c in utf8 if not c.leads.isdisjoint(r)}
+                    twice = sorted(t for t in twice if len(t) < len(r))
                     if not twice:
                         break
-                    out[f"{chain.name}*{again + 1}"] = r = max(twice, key=lambda w: self.log_p(w, 0.0))
+                    r = twice[0] if len(twice) == 1 else max(twice, key=lambda w: self.log_p(w, 0.0))
+                    out[f"{chain.name}*{again + 1}"] = r
                 else:
                     again = 2
                 out.setdefault(chain.name, chain.undo(word))
@@ -245,22 +267,30 @@ class Model:
             for chain, gains in self.gain:
                 if sum([gains.get(c, 0.0) for c in odd]) > 0.7 and chain.reads.issuperset(odd):
                     out[chain.name] = word.translate(chain.table)
-        return {c: r for c, r in out.items() if self.plausible(word, r)}
+        likely = {r for r in set(out.values()) if self.plausible(word, r)}
+        return {c: r for c, r in out.items() if r in likely}
 
     def evidence(self, word: str, own: float = 1.0) -> dict[str, tuple[float, str]]:
         """chain -> (log-likelihood ratio against 'clean', original). Damage has the chain LOST."""
         found = self.candidates(word)
         clean = self.log_p(word, own) if found else 0.0
-        out = {c: (self.log_p(r, 0.0) - clean, r) for c, r in found.items()}
+        scored = {r: self.log_p(r, 0.0) - clean for r in set(found.values())}
+        out = {c: (scored[r], r) for c, r in found.items()}
         if "�" in word or re.search("[\x80-\x84\x86-\x9f]", word):
             best = max((x[0] for x in out.values()), default=-1.0)
             out[LOST] = (25.0 if "�" in word else 8.0 if best <= 0 else 0.0, word)
         return out
 
+    def positive(self, word: str) -> dict[str, tuple[float, str]]:
+        """The evidence that speaks for a chain."""
+        if word.isascii() or not self.suspicious.search(word):
+            return {}
+        return {c: x for c, x in self.evidence(word).items() if x[0] > 0}
+
     def weight(self, source: str | None, chain: str) -> float:
         if not self.weights:
             return PRIOR
-        own = self.weights.get(source) or self.weights[None]
+        own = self.weights.get(source) or self.weights[OTHER]
         return own.get(chain, 1e-9)
 
 
@@ -289,17 +319,20 @@ def dictionary(documents: DataFrame, text: str, source: str) -> DataFrame:
 
 
 def _sums(rows: DataFrame, make) -> dict:
-    """Sums of ``make``'s (key, value) pairs over all rows; keys are of bounded number."""
+    """Sums of ``make``'s (key, value) pairs over all rows: int keys are buckets, others text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: Counter = Counter()
         for batch in batches:
             make(batch.to_pydict(), sums)
-        keys, values = list(sums), list(sums.values())
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(values, pa.float64())], names=["k", "v"])
+        number = [k if isinstance(k, int) else None for k in sums]
+        text = [None if isinstance(k, int) else k for k in sums]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(number, pa.int64()), pa.array(text, pa.string()), pa.array(list(sums.values()), pa.float64())], names=["i", "k", "v"]
+        )
 
-    got = rows.mapInArrow(run, "k string, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow()
-    return dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+    got = rows.mapInArrow(run, "i bigint, k string, v double").groupBy("i", "k").agg(F.sum("v").alias("v")).toArrow().to_pydict()
+    return {k if i is None else i: v for i, k, v in zip(got["i"], got["k"], got["v"])}
 
 
 def count_chars(words: DataFrame) -> dict[str, float]:
@@ -312,48 +345,56 @@ def count_chars(words: DataFrame) -> dict[str, float]:
     return _sums(words, make)
 
 
-def add_word(sums: Counter, word: str, n: float) -> None:
-    """Counts of a word, its trigrams and bigrams under table-prefixed bucket numbers."""
+def add_whole(sums: Counter, word: str, n: float, table: int = 0) -> None:
     key = core(word)
-    sums[f"w{bucket(key)}"] += n
-    sums[f"v{bucket(key, 1)}"] += n
+    sums[table * BUCKETS + bucket(key)] += n
+    sums[(table + 1) * BUCKETS + bucket(key, 1)] += n
+
+
+def add_word(sums: Counter, word: str, n: float) -> None:
+    """Counts of a word, its trigrams and bigrams; keys are table x BUCKETS + bucket."""
+    add_whole(sums, word, n)
     s = f"\x02\x02{word.lower()}\x03"
     for i in range(2, len(s)):
-        sums[f"t{bucket(s[i - 2 : i + 1])}"] += n
-        sums[f"b{bucket(s[i - 2 : i])}"] += n
+        sums[2 * BUCKETS + bucket(s[i - 2 : i + 1])] += n
+        sums[3 * BUCKETS + bucket(s[i - 2 : i])] += n
 
 
 def to_tables(*sums: dict) -> np.ndarray:
-    out = np.zeros((4, BUCKETS), np.float32)
+    out = np.zeros(4 * BUCKETS, np.float32)
     for part in sums:
-        for k, v in part.items():
-            if k[0] in "wvtb":
-                out["wvtb".index(k[0]), int(k[1:])] += v
-    return out
+        own = {k: v for k, v in part.items() if isinstance(k, int) and k < 4 * BUCKETS}
+        out[np.fromiter(own.keys(), np.int64, len(own))] += np.fromiter(own.values(), np.float32, len(own))
+    return out.reshape(4, BUCKETS)
 
 
 def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds: int = 2) -> Model:
     """The model of a corpus. ``source``: the column chain weights are pooled by."""
     spark = documents.sparkSession
     words = cut(dictionary(documents.select(normalised(source).alias("_s"), F.col(text).alias("_t")), "_t", "_s"))
-    per_word = words.groupBy("word").agg(F.sum("n").alias("n"))
-    chars = count_chars(per_word)
-    first = Model(chars, np.zeros((4, BUCKETS), np.float32), {})
-    shared = spark.sparkContext.broadcast(first)
+    totals = {r["source"]: r["n"] for r in words.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(MAX_SOURCES).collect()}
+    named = F.when(F.col("source").isNull() | F.col("source").isin(*[s for s in totals if s is not None]), F.concat(F.lit("+"), F.coalesce("source", F.lit("\x01"))))
+    per_source = words.groupBy("word", F.coalesce(named, F.lit("")).alias("source")).agg(F.sum("n").alias("n"))
+    # one row per word, with its count in each named source (at most MAX_SOURCES of them) and in all others
+    per_word = cut(per_source.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list("source").alias("sources"), F.collect_list("n").alias("counts")))
+    chars = count_chars(per_word.select("word", "n"))
+
+    def passed(model: Model, rows: DataFrame, make) -> dict:
+        """Sums of make(model, rows, sums) with the model broadcast for this pass only."""
+        box = spark.sparkContext.broadcast(model)
+        out = _sums(rows, lambda r, sums: make(box.value, r, sums))
+        box.destroy()
+        return out
 
-    def split(rows: dict, sums: Counter) -> None:
-        m = shared.value
+    def split(m: Model, rows: dict, sums: Counter) -> None:
         for w, n in zip(rows["word"], rows["n"]):
             if m.suspicious.search(w):
-                key = core(w)
-                sums[f"W{bucket(key)}"] += n
-                sums[f"V{bucket(key, 1)}"] += n
+                add_whole(sums, w, n, table=4)
             else:
                 add_word(sums, w, n)
 
-    def start(rows: dict, sums: Counter) -> None:
+    def start(m: Model, rows: dict, sums: Counter) -> None:
         # a suspicious word is clean to begin with if no original is more frequent and none is multi-byte
-        m = model_box.value
         for w, n in zip(rows["word"], rows["n"]):
             if m.suspicious.search(w):
                 found = m.candidates(w)
@@ -362,54 +403,69 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
                 if "�" not in w and not multi and likely < n:
                     add_word(sums, w, n)
 
-    counted = _sums(per_word, split)
-    base = {k: v for k, v in counted.items() if k[0] in "wvtb"}
-    totals = {r["source"]: r["n"] for r in words.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(MAX_SOURCES).collect()}
-    everything = to_tables(base, {k.lower(): v for k, v in counted.items() if k[0] in "WV"})
-    model_box = spark.sparkContext.broadcast(Model(chars, everything, {}))
-    model = Model(chars, to_tables(base, _sums(per_word, start)), {})
-    for _ in range(rounds):
-        box = spark.sparkContext.broadcast(model)
-        named = spark.sparkContext.broadcast(set(totals))
-
-        def expect(rows: dict, sums: Counter, box=box, named=named) -> None:
-            m = box.value
-            seen: dict[str, dict] = {}
-            for w, s, n in zip(rows["word"], rows["source"], rows["n"]):
-                if not m.suspicious.search(w):
-                    continue
-                if w not in seen:
-                    seen[w] = m.evidence(w)
-                scores = {c: math.log(m.weight(s, c)) + e for c, (e, _) in seen[w].items()}
-                top = max([0.0, *scores.values()])
+    def expect(m: Model, rows: dict, sums: Counter) -> None:
+        for w, n, sources, counts in zip(*(rows[c] for c in ("word", "n", "sources", "counts"))):
+            if not m.suspicious.search(w):
+                continue
+            found = m.evidence(w)
+            if not found:
+                add_word(sums, w, n)
+                continue
+            clean_n, fixed = 0.0, Counter()
+            for s, k in zip(sources, counts):
+                own = None if s == "+\x01" else s[1:] if s else OTHER
+                scores = {c: math.log(m.weight(own, c)) + e for c, (e, _) in found.items()}
+                top = max(0.0, *scores.values())
                 mass = {c: math.exp(x - top) for c, x in scores.items()}
                 whole = math.exp(-top) + sum(mass.values())
-                clean = math.exp(-top) / whole
-                if clean > 1e-3:
-                    add_word(sums, w, n * clean)
+                clean_n += k * math.exp(-top) / whole
                 for c, x in mass.items():
                     if x / whole > 1e-3:
-                        who = s if s in named.value else None
-                        sums[f"c{c}\x00{'' if who is None else '+' + who}"] += n * x / whole
-                        if c != LOST:
-                            add_word(sums, seen[w][c][1], n * x / whole)
-
-        sums = _sums(words, expect)
+                        sums[f"{c}\x00{s}"] += k * x / whole
+                        fixed[c] += k * x / whole
+            if clean_n > 1e-3:
+                add_word(sums, w, clean_n)
+            for c, k in fixed.items():
+                if c != LOST:
+                    add_word(sums, found[c][1], k)
+
+    empty = np.zeros((4, BUCKETS), np.float32)
+    base = passed(Model(chars, empty, {}), per_word.select("word", "n"), split)
+    every = to_tables(base, {k - 4 * BUCKETS: v for k, v in base.items() if k >= 4 * BUCKETS})
+    model = Model(chars, to_tables(base, passed(Model(chars, every, {}), per_word.select("word", "n"), start)), {})
+    for _ in range(rounds):
+        sums = passed(model, per_word, expect)
         overall: Counter = Counter()
         by_source: dict[str | None, Counter] = {s: Counter() for s in totals}
         for k, v in sums.items():
-            if k[0] == "c":
-                c, _, s = k[1:].partition("\x00")
+            if isinstance(k, str):
+                c, _, s = k.partition("\x00")
                 overall[c] += v
                 if s:
-                    by_source[s[1:]][c] += v
+                    by_source[None if s == "+\x01" else s[1:]][c] += v
         all_n = sum(totals.values()) + 1.0
         # a chain that explains no word of the corpus keeps no weight
-        weights: dict[str | None, dict[str, float]] = {None: {c: v / all_n for c, v in overall.items() if v > 0.5 or c == LOST}}
+        weights: dict[str | None, dict[str, float]] = {OTHER: {c: v / all_n for c, v in overall.items() if v > 0.5 or c == LOST}}
         for s, own in by_source.items():
             # a source's weights are drawn to the overall ones by 1000 words' worth
-            weights[s] = {c: (own[c] + 1000 * w) / (totals[s] + 1000) for c, w in weights[None].items()}
+            weights[s] = {c: (own[c] + 1000 * w) / (totals[s] + 1000) for c, w in weights[OTHER].items()}
         model = Model(chars, to_tables(base, sums), weights)
+    # the evidence of the words met most often, so that not every task of the repair works it out again
+    box = spark.sparkContext.broadcast(model)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = box.value
+        for batch in batches:
+            d = batch.to_pydict()
+            rows = [(w, n, pickle.dumps(m.positive(w))) for w, n in zip(d["word"], d["n"]) if m.suspicious.search(w)]
+            columns = zip(*rows) if rows else ([], [], [])
+            kinds = (pa.string(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["word", "n", "e"])
+
+    often = per_word.where("n > 1").select("word", "n").mapInArrow(judge, "word string, n bigint, e binary")
+    got = often.orderBy(F.desc("n"), "word").limit(READY_WORDS).toArrow().to_pydict()
+    model.ready = {w: pickle.loads(e) for w, e in zip(got["word"], got["e"])}
+    box.destroy()
     return model
 
 
@@ -423,9 +479,8 @@ def repair(documents: DataFrame, model: Model, item: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = box.value
-        cache: dict[str, dict] = {}
+        cache: dict[str, dict] = dict(m.ready)
         weigh: dict[tuple, float] = {}
-        suspicious = m.suspicious.search
         for batch in batches:
             out: list[tuple] = []
             for s, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -437,9 +492,8 @@ def repair(documents: DataFrame, model: Model, item: str = "doc_id", text: str =
                     e = cache.get(w)
                     if e is None:
                         if len(cache) > 500_000:
-                            cache.clear()
-                        tested = m.evidence(w) if not w.isascii() and suspicious(w) else {}
-                        e = cache[w] = {c: x for c, x in tested.items() if x[0] > 0}
+                            cache = dict(m.ready)
+                        e = cache[w] = m.positive(w)
                     if e:
                         found[w] = e
                 score: Counter = Counter()
