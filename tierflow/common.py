@@ -12,10 +12,12 @@ Fixed readings used by every operator:
 
 from __future__ import annotations
 
+import os
 import tempfile
 import unicodedata
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,19 @@ from pyspark.sql import types as T
 MISSING = ("", "-", "unknown")
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+
+    Enough on one machine and where the path is shared; other clusters get it by --py-files."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` below ``sf_dir``."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -157,6 +170,25 @@ def bucketed_rank(df: DataFrame, group: Sequence[str], draw: str, rank: str = "r
     )
 
 
+def before_in_order(df: DataFrame, order: Sequence[str], amount: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``amount`` over all rows before, by distinct ``order`` columns.
+
+    Rows are range-partitioned, summed per partition, and each partition adds what
+    the earlier ones hold: no task sorts more than its range."""
+    placed = cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("_part").agg(F.sum(amount).alias("_sum"))
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))  # a row per partition
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = placed.withColumn("_own", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    return own.join(F.broadcast(offsets), "_part").select(*df.columns, (F.col("_own") + F.col("_before")).alias(name))
+
+
+def with_totals(df: DataFrame, **totals: Column) -> DataFrame:
+    """``df`` with aggregates over all its rows as columns: one broadcast row instead of a window in one task."""
+    return df.crossJoin(F.broadcast(df.agg(*[c.alias(n) for n, c in totals.items()])))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names derived from ``names`` that no column of ``df`` has."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.common import small
+from tierflow.common import small, with_totals
 
 
 def collapse_rare(df: DataFrame, label: str, max_ratio: float, other: str = "Other") -> DataFrame:
     """``df`` with labels below (largest train class / max_ratio) replaced by ``other``, unseen ones too."""
     counts = df.where("split = 'train'").where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    kept = counts.withColumn("_top", F.max("_n").over(Window.partitionBy())).where(F.col("_n") >= F.col("_top") / max_ratio)
+    kept = with_totals(counts, _top=F.max("_n")).where(F.col("_n") >= F.col("_top") / max_ratio)
     marked = df.join(small(kept.select(label, F.lit(True).alias("_kept"))), label, "left")
     value = F.when(F.col(label).isNull() | F.col("_kept"), F.col(label)).otherwise(other)
     return marked.withColumn(label, value).drop("_kept").select(*df.columns)

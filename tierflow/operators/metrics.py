@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierflow.common import before_in_order
 from tierflow.functions.frames import unmasked
 
 
@@ -56,14 +57,13 @@ def frame_metrics(conf: DataFrame, positive) -> DataFrame:
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """One row: rho, average ranks for ties; NULL if either side is constant.
 
-    Ranks are worked out on the distinct values and their counts, so a sort sees
-    each value once and no window holds the rows."""
+    Ranks are worked out on the distinct values and their counts, by ranges of
+    values, so that no task sorts all of them."""
     both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("_n"))
 
     def ranks(c: str, name: str) -> DataFrame:
-        per = both.groupBy(c).agg(F.sum("_n").alias("_k"))
-        before = F.coalesce(F.sum("_k").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return per.select(c, (before + (F.col("_k") + 1) / 2).alias(name))
+        per = before_in_order(both.groupBy(c).agg(F.sum("_n").alias("_k")), [c], "_k", "_before")
+        return per.select(c, (F.col("_before") + (F.col("_k") + 1) / 2).alias(name))
 
     r = both.join(ranks(a, "_ra"), a).join(ranks(b, "_rb"), b)
     n, sa, sb = F.sum("_n"), F.sum(F.col("_n") * F.col("_ra")), F.sum(F.col("_n") * F.col("_rb"))

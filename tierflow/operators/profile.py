@@ -1,18 +1,20 @@
 """Profiles of tables: counts, shares, quantiles, histograms, warnings.
 
-All are hash aggregates with map-side combine; shares and ranks are windows over
-the aggregated rows only."""
+All are hash aggregates with map-side combine; shares come from one row of totals,
+ranks from windows over the aggregated rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierflow.common import with_totals
+
 
 def value_counts(df: DataFrame, *keys: str) -> DataFrame:
     """keys, n and pct of all rows."""
-    every = Window.partitionBy()
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("pct", F.col("n") * 100.0 / F.greatest(F.sum("n").over(every), F.lit(1)))
+    n = with_totals(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), _total=F.sum("n"))
+    return n.withColumn("pct", F.col("n") * 100.0 / F.greatest("_total", F.lit(1))).drop("_total")
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
@@ -65,9 +67,9 @@ def over_cap(df: DataFrame, key: str, value: Column, cap: float, total: str = "T
 
 def imbalance(df: DataFrame, label: str, most_ratio: float, least_pct: float) -> DataFrame:
     """label, n, pct, ratio (largest class to this), warning ('ratio', 'rare') or NULL."""
-    every = Window.partitionBy()
     n = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    out = n.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(every)).withColumn("ratio", F.max("n").over(every) / F.col("n"))
+    all_ = with_totals(n, _sum=F.sum("n"), _max=F.max("n"))
+    out = all_.withColumn("pct", F.col("n") * 100.0 / F.col("_sum")).withColumn("ratio", F.col("_max") / F.col("n")).drop("_sum", "_max")
     return out.withColumn("warning", F.when(F.col("ratio") > most_ratio, "ratio").when(F.col("pct") < least_pct, "rare"))
 
 

@@ -39,7 +39,7 @@ def word_rows(df: DataFrame, words: Column, stress: Column, rate: int) -> DataFr
             F.transform(marks(i), lambda p: F.struct(p["raw"][0].alias("time_s"), p["raw"][1].alias("time_e"))).alias("marks"),
         ),
     )
-    long = df.select("instance_id", "text", F.inline(rows)).where("word is not null")
+    long = df.select("instance_id", "text", F.inline_outer(rows)).where("word is not null")
     length = F.col("word.time_e") - F.col("word.time_s")
     return (
         long.withColumn("primary_stress", fr.rasterise_rounded("marks", length, rate, offset=F.col("word.time_s")))

@@ -6,10 +6,13 @@ plan. Ranks within classes, splits or data sets are worked out by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.common import bucketed_rank
+from tierflow.common import bucketed_rank, with_totals
 from tierflow.functions.ids import draw, stable_hash
 from tierflow.schema import SPLITS
 
@@ -57,33 +60,27 @@ def speaker_disjoint(df: DataFrame, speaker: str = "speaker", ratios=(0.8, 0.1,
     """speaker, n, split: shuffled speakers go one by one to the split with the lowest count / quota.
 
     Quotas are round(ratio x rows), test takes what rounding leaves; ties go to train,
-    then dev. The course is inherently sequential over speakers (not rows): one fold
-    over an array of their counts, which an executor holds (about 50 bytes a speaker)."""
+    then dev. The course is inherently sequential over speakers (not rows): one task
+    reads their sorted counts once and holds nothing but the three loads."""
     counts = df.groupBy(speaker).agg(F.count(F.lit(1)).alias("n"))
-    order = F.array_sort(F.collect_list(F.struct(draw(seed, F.coalesce(speaker, F.lit(""))).alias("o"), F.col(speaker).alias("s"), F.col("n"))))
-    total = F.aggregate("a", F.lit(0).cast("bigint"), lambda x, e: x + e["n"])
-    quota = [F.rint(F.lit(ratios[0]) * F.col("t")), F.rint(F.lit(ratios[1]) * F.col("t"))]
-    quota.append(F.col("t") - quota[0] - quota[1])
-    start = F.struct(
-        *[F.lit(0).cast("bigint").alias(s) for s in SPLITS],
-        F.array().cast("array<struct<s:string,n:bigint,split:string>>").alias("out"),
-    )
-
-    def step(state: Column, e: Column) -> Column:
-        load = [state[s] / F.greatest(F.lit(1.0), F.col(f"q{i}")) for i, s in enumerate(SPLITS)]
-        goes = F.when((load[0] <= load[1]) & (load[0] <= load[2]), SPLITS[0]).when(load[1] <= load[2], SPLITS[1]).otherwise(SPLITS[2])
-        return F.struct(
-            *[(state[s] + F.when(goes == s, e["n"]).otherwise(0)).alias(s) for s in SPLITS],
-            F.concat(state["out"], F.array(F.struct(e["s"].alias("s"), e["n"].alias("n"), goes.alias("split")))).alias("out"),
-        )
-
-    folded = (
-        counts.agg(order.alias("a"))
-        .withColumn("t", total)
-        .withColumns({f"q{i}": q for i, q in enumerate(quota)})
-        .select(F.inline(F.aggregate("a", start, step)["out"]))
-    )
-    return folded.select(F.col("s").alias(speaker), "n", "split")
+    ordered = with_totals(counts, _t=F.sum("n")).withColumn("_o", draw(seed, F.coalesce(speaker, F.lit(""))))
+    kind = df.schema[speaker].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        load, quota = [0, 0, 0], None
+        for batch in batches:
+            goes = []
+            for n, total in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if quota is None:
+                    quota = [round(ratios[0] * total), round(ratios[1] * total)]
+                    quota = [max(1, q) for q in (*quota, total - sum(quota))]
+                i = min(range(3), key=lambda i: load[i] / quota[i])
+                load[i] += n
+                goes.append(SPLITS[i])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(goes, pa.string())], names=[speaker, "n", "split"])
+
+    one = ordered.repartition(1).sortWithinPartitions("_o", speaker).select(speaker, "n", "_t")
+    return one.mapInArrow(run, f"`{speaker}` {kind}, n bigint, split string")
 
 
 def _ranked(df: DataFrame, group: list[str], item: str, seed: str) -> DataFrame:
@@ -143,13 +140,14 @@ def cap_per_split(df: DataFrame, caps: dict[str, int], item: str = "instance_id"
 def select_quota(df: DataFrame, group: str, speaker: str, quotas: dict[str, int], item: str = "instance_id", seed: str = SEED) -> DataFrame:
     """Per group, speakers in turn (wide before deep) until the quota is met.
 
-    Adds turn (which of the speaker's items) and place (in the group). Rows are cut
-    to at most quota per speaker before the group is ranked."""
+    Adds turn (which of the speaker's items) and place (in the group). The constant
+    bounds let Spark cut speakers and groups down before they are shuffled."""
+    bound = max(quotas.values(), default=0)
     most = F.coalesce(*[F.when(F.col(group) == g, n) for g, n in quotas.items()], F.lit(0))
     turns = Window.partitionBy(group, speaker).orderBy(draw(seed, item), item)
-    seen = df.where(F.col(group).isin(*quotas)).withColumn("turn", F.row_number().over(turns)).where(F.col("turn") <= most)
+    seen = df.where(F.col(group).isin(*quotas)).withColumn("turn", F.row_number().over(turns)).where(F.col("turn") <= bound).where(F.col("turn") <= most)
     places = Window.partitionBy(group).orderBy("turn", draw(seed, speaker), speaker)
-    return seen.withColumn("place", F.row_number().over(places)).where(F.col("place") <= most)
+    return seen.withColumn("place", F.row_number().over(places)).where(F.col("place") <= bound).where(F.col("place") <= most)
 
 
 def quota_report(eligible: DataFrame, selected: DataFrame, group: str, speaker: str, quotas: dict[str, int], ideal: int) -> DataFrame:

@@ -194,7 +194,7 @@ def _events(spark, d):
 @query(f"WITH {_RUNS} SELECT vec_id, round_even(a * 20, 0) / 1000 AS start_s, round_even(z * 20, 0) / 1000 AS end_s, 'fp' AS label, 0.5::DOUBLE AS mean_prob FROM ev")
 def frames_to_events(spark, d):
     """Runs of positive frames as events."""
-    return _events(spark, d).select("vec_id", F.inline("e"))
+    return _events(spark, d).select("vec_id", F.inline_outer("e")).where("start_s is not null")
 
 
 @query(f"WITH {_RUNS} SELECT vec_id, count(*) AS events, round(sum((z - a) * 20) / 1000, 6) AS event_s FROM ev WHERE a <> 0 AND z * 20 < 1260 AND (z - a) * 20 >= 80 GROUP BY vec_id")
@@ -202,7 +202,7 @@ def event_postprocess(spark, d):
     """Events without those at the edges and the short ones, summed."""
     # lengths are multiples of 20 ms: the bound lies between two of them
     kept = events.postprocess("e", F.lit(1.28), shortest=0.07)
-    long = _events(spark, d).select("vec_id", F.inline(kept))
+    long = _events(spark, d).select("vec_id", F.inline_outer(kept)).where("start_s is not null")
     return events.totals(long, "vec_id").withColumn("event_s", F.round("event_s", 6))
 
 
@@ -210,7 +210,7 @@ def event_postprocess(spark, d):
 SELECT vec_id, CAST(a * 20 AS BIGINT) AS start_ms, CAST(z * 20 AS BIGINT) AS end_ms, label FROM (SELECT vec_id, a, z, 'fp' AS label FROM ev UNION ALL SELECT vec_id, a, z, '' FROM g WHERE z > a)""")
 def gap_fill(spark, d):
     """Events with the gaps between, before and after them."""
-    long = _events(spark, d).select("vec_id", F.inline("e")).withColumn("duration", F.lit(1.28))
+    long = _events(spark, d).select("vec_id", F.inline_outer("e")).where("start_s is not null").withColumn("duration", F.lit(1.28))
     return events.fill_gaps(long, "vec_id", "duration").select("vec_id", ms("start_s").alias("start_ms"), ms("end_s").alias("end_ms"), "label")
 
 
