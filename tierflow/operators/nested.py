@@ -115,7 +115,8 @@ def children(recs: DataFrame) -> DataFrame:
         roles,
         labels,
     )
-    return lists.select("instance_id", every.alias("_rows")).select("instance_id", F.inline("_rows"))
+    # outer, as Catalyst would otherwise work out all rows once more in a filter before the generator
+    return lists.select("instance_id", every.alias("_rows")).select("instance_id", F.inline_outer("_rows")).where("child is not null")
 
 
 def record_table(recs: DataFrame) -> DataFrame:
