@@ -171,6 +171,7 @@ class Model:
         for chain in utf8:
             unsafe |= {c for c in chain.leads if self.char(c) < math.log(2e-3)}
         self.suspicious = re.compile(f"[{''.join(map(re.escape, sorted(unsafe)))}]")
+        self.java_class = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(unsafe)) + "]"
 
     def __getstate__(self) -> tuple:
         """What a broadcast holds: counts that aren't 0, compressed."""
@@ -429,12 +430,13 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
                 if c != LOST:
                     add_word(sums, found[c][1], k)
 
-    empty = np.zeros((4, BUCKETS), np.float32)
-    base = passed(Model(chars, empty, {}), per_word.select("word", "n"), split)
+    first = Model(chars, np.zeros((4, BUCKETS), np.float32), {})
+    base = passed(first, per_word.select("word", "n"), split)
+    suspects = cut(per_word.where(F.col("word").rlike(first.java_class)))
     every = to_tables(base, {k - 4 * BUCKETS: v for k, v in base.items() if k >= 4 * BUCKETS})
-    model = Model(chars, to_tables(base, passed(Model(chars, every, {}), per_word.select("word", "n"), start)), {})
+    model = Model(chars, to_tables(base, passed(Model(chars, every, {}), suspects.select("word", "n"), start)), {})
     for _ in range(rounds):
-        sums = passed(model, per_word, expect)
+        sums = passed(model, suspects, expect)
         overall: Counter = Counter()
         by_source: dict[str | None, Counter] = {s: Counter() for s in totals}
         for k, v in sums.items():
@@ -462,7 +464,7 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
             kinds = (pa.string(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["word", "n", "e"])
 
-    often = per_word.where("n > 1").select("word", "n").mapInArrow(judge, "word string, n bigint, e binary")
+    often = suspects.where("n > 1").select("word", "n").mapInArrow(judge, "word string, n bigint, e binary")
     got = often.orderBy(F.desc("n"), "word").limit(READY_WORDS).toArrow().to_pydict()
     model.ready = {w: pickle.loads(e) for w, e in zip(got["word"], got["e"])}
     box.destroy()
