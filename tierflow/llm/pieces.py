@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.common import ms
+from tierflow.common import ms, small
 
 
 def event_runs(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +94,7 @@ def pieces(frame_records: DataFrame, limits: DataFrame) -> DataFrame:
         F.coalesce(ms("max_piece_s"), F.lit(0)).alias("limit_ms"),
         F.greatest(F.coalesce(ms("overlap_s"), F.lit(0)), F.lit(0)).alias("overlap_ms"),
     )
-    joined = rows.join(bounds, "dataset", "left").select(
+    joined = rows.join(small(bounds), "dataset", "left").select(
         "instance_id", "dataset", "audio_path", "rate", "size_ms", "labels",
         F.coalesce("limit_ms", F.lit(0)).alias("limit_ms"), F.coalesce("overlap_ms", F.lit(0)).alias("overlap_ms"),
     )
