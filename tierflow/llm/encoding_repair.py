@@ -69,6 +69,9 @@ LOST = "lost"
 OTHER = "\x00other"
 #: Words that are odd whatever their letters: capitals after small letters, two scripts; each costs ODD.
 MIXED_CASE = re.compile("[a-zß-öø-ÿа-џšžčćđłńśźżąęěřůňťď][A-ZÀ-ÖØ-ÞЀ-ЯŠŽČĆĐŁŃŚŹŻĄĘĚŘŮŇŤĎ]")
+#: Those of them that are worth a test: a capital beyond ASCII.
+SMALL = "abcdefghijklmnopqrstuvwxyzšžčćđłńśźżąęěřůňťďáéíóúý"
+CAPITAL = "ŠŽČĆĐŁŃŚŹŻĄĘĚŘŮŇŤĎÁÉÍÓÚÝ"
 LATIN, CYRILLIC, ODD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]"), re.compile("[Ѐ-ԯ]"), 20.0
 #: Most words whose evidence is worked out before the repair and handed to its tasks.
 READY_WORDS = 20_000
@@ -91,7 +94,7 @@ class Utf8Chain:
         for b in range(0x80, 0xA0):  # C1 controls pass through lenient readers
             self.byte.setdefault(chr(b), b)
         group = lambda a, z: "[" + "".join(re.escape(c) for c, b in self.byte.items() if a <= b < z) + "]"
-        more = group(0x80, 0xC0)
+        self.more = more = group(0x80, 0xC0)
         self.leads = {c for c, b in self.byte.items() if 0xC2 <= b < 0xF5}
         self.pattern = re.compile(f"{group(0xC2, 0xE0)}{more}|{group(0xE0, 0xF0)}{more}{{2}}|{group(0xF0, 0xF5)}{more}{{3}}")
         # bytes without a visible character may have been dropped: a lone lead stands for one of these
@@ -136,7 +139,9 @@ def bucket(s: str, seed: int = 0) -> int:
 
 
 def core(word: str) -> str:
-    return word.strip(PUNCTUATION).lower()
+    """What a word is counted under: without punctuation, lower case unless its case is odd."""
+    bare = word.strip(PUNCTUATION)
+    return bare if MIXED_CASE.search(bare) else bare.lower()
 
 
 def words_of(text: str) -> list[str]:
@@ -168,10 +173,20 @@ class Model:
             gains = {chr(c): self.char(t) - self.char(chr(c)) for c, t in chain.table.items()}
             self.gain.append((chain, gains))
             unsafe |= {c for c, g in gains.items() if g > 0.7}
+        # of a sequence that begins with a rare character the beginning is enough, of others the whole is needed
+        rare = math.log(2e-3)
+        sequences = []
         for chain in utf8:
-            unsafe |= {c for c in chain.leads if self.char(c) < math.log(2e-3)}
-        self.suspicious = re.compile(f"[{''.join(map(re.escape, sorted(unsafe)))}]")
-        self.java_class = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(unsafe)) + "]"
+            unsafe |= {c for c in chain.leads if self.char(c) < rare}
+            for length, low, high in ((1, 0xC2, 0xE0), (2, 0xE0, 0xF0), (3, 0xF0, 0xF5)):
+                often = [c for c in chain.leads - unsafe if low <= chain.byte[c] < high]
+                if often:
+                    sequences.append((sorted(often), sorted(c for c, b in chain.byte.items() if 0x80 <= b < 0xC0), length))
+        quoted = lambda cs: "[" + "".join(map(re.escape, cs)) + "]"
+        coded = lambda cs: "[" + "".join(f"\\x{{{ord(c):x}}}" for c in cs) + "]"
+        either = lambda q: "|".join([q(sorted(unsafe)), *(q(a) + q(b) + f"{{{n}}}" for a, b, n in sequences), q(SMALL) + q(CAPITAL)])
+        self.suspicious = re.compile(either(quoted))
+        self.java_pattern = either(coded)
 
     def __getstate__(self) -> tuple:
         """What a broadcast holds: counts that aren't 0, compressed."""
@@ -265,9 +280,13 @@ class Model:
                     out[f"{chain.name}-"] = d
         if len(core(word)) > 1:  # one character alone says nothing of an encoding
             odd = [c for c in word if c > "\x7f"]
+            mixed = MIXED_CASE.search(word)
             for chain, gains in self.gain:
-                if sum([gains.get(c, 0.0) for c in odd]) > 0.7 and chain.reads.issuperset(odd):
-                    out[chain.name] = word.translate(chain.table)
+                if chain.reads.issuperset(odd):
+                    if sum([gains.get(c, 0.0) for c in odd]) > 0.7:
+                        out[chain.name] = word.translate(chain.table)
+                    elif mixed and not MIXED_CASE.search(r := word.translate(chain.table)):
+                        out[chain.name] = r
         likely = {r for r in set(out.values()) if self.plausible(word, r)}
         return {c: r for c, r in out.items() if r in likely}
 
@@ -432,7 +451,7 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
 
     first = Model(chars, np.zeros((4, BUCKETS), np.float32), {})
     base = passed(first, per_word.select("word", "n"), split)
-    suspects = cut(per_word.where(F.col("word").rlike(first.java_class)))
+    suspects = cut(per_word.where(F.col("word").rlike(first.java_pattern)))
     every = to_tables(base, {k - 4 * BUCKETS: v for k, v in base.items() if k >= 4 * BUCKETS})
     model = Model(chars, to_tables(base, passed(Model(chars, every, {}), suspects.select("word", "n"), start)), {})
     for _ in range(rounds):
