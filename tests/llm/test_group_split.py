@@ -70,3 +70,14 @@ def test_assignment_keeps_groups_and_shares(spark):
     assert len(out) == len(rows) and out.groupby("entity").new_split.nunique().max() == 1
     share = out.new_split.value_counts(normalize=True)
     assert abs(share["train"] - 0.8) < 0.02 and abs(share["dev"] - 0.1) < 0.02
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    reg = spark.createDataFrame([], "speaker_id string, same_as string")
+    u = spark.createDataFrame([], "instance_id string, file_id string, speaker string, split string")
+    members = g.entities(u, reg)
+    assert members.count() == 0 and g.straddling(members).count() == 0
+    assert g.assign(members, [("train", 0.8), ("test", 0.2)]).count() == 0
+    clash = spark.createDataFrame([("1", "person", "a", "old", 3)], "instance_id string, kind string, entity string, new_split string, size int")
+    out = g.assign(clash, [("train", 0.8), ("test", 0.2)]).first()
+    assert out.new_split == "train" and out["size"] == 3

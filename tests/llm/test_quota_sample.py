@@ -42,3 +42,12 @@ def test_eligible_needs_all_three(spark):
     schema = "instance_id string, labels struct<sentiment_6:string>, metadata struct<speaker_info:struct<lang:string,speaker_gender:string>>"
     rows = [("a", ("Positive ",), (("HR", "f"),)), ("b", ("-",), (("hr", "F"),)), ("c", None, (("hr", "F"),)), ("d", ("x",), None)]
     assert [tuple(r) for r in q.eligible(spark.createDataFrame(rows, schema)).collect()] == [("a", "hr", "f", "positive")]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(f"i{k}", "a", k, -k, 7, None) for k in range(50)]
+    df = spark.createDataFrame(rows, "instance_id string, cat string, quota int, _draw int, _rank int, available int")
+    targets = spark.createDataFrame([("a", 1000, 0)], "cat string, permille bigint, floor bigint")
+    sample, _ = q.quota_sample(df, targets, ["cat"])
+    out = sample.collect()
+    assert len(out) == 10 and all((r.quota, r._draw, r._rank) == (int(r.instance_id[1:]), -int(r.instance_id[1:]), 7) for r in out)

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Where the vocabulary file lies; a parameter of every operator here.
@@ -222,11 +223,9 @@ def encode_texts(
     """``keep`` columns (default: all others) and ``ids``, the ids of ``text``.
 
     One narrow pass, no shuffle. NULL and empty texts give []. A column of
-    ``df`` named as ``ids`` must not be kept (ValueError)."""
-    keep = [c for c in df.columns if c not in (text, ids)] if keep is None else keep
-    if ids in keep:
-        raise ValueError(f"column {ids!r} is in the input")
-    source = df.select(*keep, df[text].alias("__text"))
+    ``df`` named as ``ids`` is replaced."""
+    keep = [c for c in (df.columns if keep is None else keep) if c != ids and (keep is not None or c != text)]
+    source = df.select(*keep, F.col(text).alias("__text"))
     schema = T.StructType([source.schema[c] for c in keep] + [T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,10 +245,8 @@ def count_tokens(
     df: DataFrame, text: str = "text", tokens: str = "tokens", keep: list[str] | None = None, path: str = VOCABULARY
 ) -> DataFrame:
     """As encode_texts, with the number of ids instead of the ids."""
-    keep = [c for c in df.columns if c not in (text, tokens)] if keep is None else keep
-    if tokens in keep:
-        raise ValueError(f"column {tokens!r} is in the input")
-    source = df.select(*keep, df[text].alias("__text"))
+    keep = [c for c in (df.columns if keep is None else keep) if c != tokens and (keep is not None or c != text)]
+    source = df.select(*keep, F.col(text).alias("__text"))
     schema = T.StructType([source.schema[c] for c in keep] + [T.StructField(tokens, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +263,7 @@ def count_tokens(
 def decode_ids(df: DataFrame, ids: str = "ids", text: str = "text", path: str = VOCABULARY) -> DataFrame:
     """The other columns and the ``text`` of ``ids``; NULL ids give NULL."""
     keep = [c for c in df.columns if c not in (ids, text)]
-    source = df.select(*keep, df[ids].alias("__ids"))
+    source = df.select(*keep, F.col(ids).alias("__ids"))
     schema = T.StructType([source.schema[c] for c in keep] + [T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -161,7 +161,8 @@ def greedy(sizes: list[tuple[int, int]], shares: list[float]) -> list[tuple[int,
 
 
 def assign(members: DataFrame, splits: list[tuple[str, float]], seed: str = "split") -> DataFrame:
-    """instance_id, kind, entity, new_split; ``members``: instance_id, kind, entity."""
+    """``members`` (instance_id, kind, entity and others) with new_split; one that is there is replaced."""
+    members = members.drop("new_split")
     groups = cut(members.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("size")))
     sizes = groups.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()  # at most sqrt(2 x records) rows
     plan = [

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.common import MISSING, SMALL_ROWS, bucketed_rank, cut, nfc_all
+from tierflow.common import MISSING, SMALL_ROWS, bucketed_rank, cut, fresh, nfc_all
 
 
 def eligible(current_utterances: DataFrame) -> DataFrame:
@@ -73,12 +73,10 @@ def quota_sample(
         ],
         ", ".join(f"`{c}` string" for c in category) + ", permille bigint, floor bigint, available bigint, quota bigint, wanted bigint",
     ).withColumn("short", F.col("available") < F.col("wanted"))
-    keyed = rows.withColumn("_draw", F.xxhash64(F.lit(seed), item))
-    drawn = (
-        bucketed_rank(keyed.join(F.broadcast(report.where("quota > 0").select(*category, "quota")), category), category, "_draw", "_rank")
-        .where(F.col("_rank") <= F.col("quota"))
-        .select(*rows.columns)
-    )
+    key, place, most = fresh(rows, "_draw", "_rank", "_quota")  # the rows may have columns of any name
+    wanted = F.broadcast(report.where("quota > 0").select(*category, F.col("quota").alias(most)))
+    keyed = rows.withColumn(key, F.xxhash64(F.lit(seed), item)).join(wanted, category)
+    drawn = bucketed_rank(keyed, category, key, place).where(F.col(place) <= F.col(most)).select(*rows.columns)
     return drawn, report
 
 
