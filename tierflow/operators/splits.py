@@ -16,6 +16,7 @@ from tierflow.common import bucketed_rank, with_totals
 from tierflow.functions.ids import draw, stable_hash
 from tierflow.schema import SPLITS
 
+#: Fixed value: the default seed of hash splits, part of every hashed key.
 SEED = "speech-ml-pipeline"
 
 
