@@ -148,6 +148,11 @@ def words_of(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
 
 
+def base_chain(chain: str) -> str:
+    """The chain without how often it was undone and whether something was filled in."""
+    return re.sub(r"(\*\d+)?-?$", "", chain)
+
+
 class Model:
     """Language model of clean text (hashed counts) and chain weights."""
 
@@ -163,8 +168,8 @@ class Model:
         self.ready: dict[str, dict] = {}
         utf8, singles = chains()
         if weights:  # chains without weight need no test
-            used = {re.sub(r"(\*\d+)?-?$", "", c) for c in weights[OTHER]}
-            utf8, singles = ([c for c in cs if c.name in used] for cs in (utf8, singles))
+            self.used = {base_chain(c) for c in weights[OTHER]}
+            utf8, singles = ([c for c in cs if c.name in self.used] for cs in (utf8, singles))
         self.utf8 = utf8
         # what one character gains under a table, and the characters worth a test
         self.gain = []
@@ -290,9 +295,14 @@ class Model:
         likely = {r for r in set(out.values()) if self.plausible(word, r)}
         return {c: r for c, r in out.items() if r in likely}
 
-    def evidence(self, word: str, own: float = 1.0) -> dict[str, tuple[float, str]]:
-        """chain -> (log-likelihood ratio against 'clean', original). Damage has the chain LOST."""
-        found = self.candidates(word)
+    def evidence(self, word: str, own: float = 1.0, found: dict[str, str] | None = None) -> dict[str, tuple[float, str]]:
+        """chain -> (log-likelihood ratio against 'clean', original). Damage has the chain LOST.
+
+        ``found``: the word's candidates, if they have been worked out before."""
+        if found is None:
+            found = self.candidates(word)
+        elif self.weights:
+            found = {c: r for c, r in found.items() if base_chain(c) in self.used}
         clean = self.log_p(word, own) if found else 0.0
         scored = {r: self.log_p(r, 0.0) - clean for r in set(found.values())}
         out = {c: (scored[r], r) for c, r in found.items()}
@@ -301,11 +311,11 @@ class Model:
             out[LOST] = (25.0 if "�" in word else 8.0 if best <= 0 else 0.0, word)
         return out
 
-    def positive(self, word: str) -> dict[str, tuple[float, str]]:
+    def positive(self, word: str, found: dict[str, str] | None = None) -> dict[str, tuple[float, str]]:
         """The evidence that speaks for a chain."""
         if word.isascii() or not self.suspicious.search(word):
             return {}
-        return {c: x for c, x in self.evidence(word).items() if x[0] > 0}
+        return {c: x for c, x in self.evidence(word, found=found).items() if x[0] > 0}
 
     def weight(self, source: str | None, chain: str) -> float:
         if not self.weights:
@@ -415,19 +425,15 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
 
     def start(m: Model, rows: dict, sums: Counter) -> None:
         # a suspicious word is clean to begin with if no original is more frequent and none is multi-byte
-        for w, n in zip(rows["word"], rows["n"]):
-            if m.suspicious.search(w):
-                found = m.candidates(w)
-                likely = max((m.count(core(r)) for r in found.values()), default=0.0)
-                multi = any(c.startswith("utf-8") and not c.endswith("-") for c in found)
-                if "�" not in w and not multi and likely < n:
-                    add_word(sums, w, n)
+        for w, n, names, originals in zip(*(rows[c] for c in ("word", "n", "chains", "originals"))):
+            likely = max((m.count(core(r)) for r in set(originals)), default=0.0)
+            multi = any(c.startswith("utf-8") and not c.endswith("-") for c in names)
+            if "�" not in w and not multi and likely < n:
+                add_word(sums, w, n)
 
     def expect(m: Model, rows: dict, sums: Counter) -> None:
-        for w, n, sources, counts in zip(*(rows[c] for c in ("word", "n", "sources", "counts"))):
-            if not m.suspicious.search(w):
-                continue
-            found = m.evidence(w)
+        for w, n, sources, counts, names, originals in zip(*(rows[c] for c in ("word", "n", "sources", "counts", "chains", "originals"))):
+            found = m.evidence(w, found=dict(zip(names, originals)))
             if not found:
                 add_word(sums, w, n)
                 continue
@@ -451,9 +457,22 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
 
     first = Model(chars, np.zeros((4, BUCKETS), np.float32), {})
     base = passed(first, per_word.select("word", "n"), split)
-    suspects = cut(per_word.where(F.col("word").rlike(first.java_pattern)))
     every = to_tables(base, {k - 4 * BUCKETS: v for k, v in base.items() if k >= 4 * BUCKETS})
-    model = Model(chars, to_tables(base, passed(Model(chars, every, {}), suspects.select("word", "n"), start)), {})
+    everything = Model(chars, every, {})
+    box = spark.sparkContext.broadcast(everything)
+
+    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [box.value.candidates(w) for w in batch.column(0).to_pylist()]
+            texts = pa.list_(pa.string())
+            more = [pa.array([list(x) for x in found], texts), pa.array([list(x.values()) for x in found], texts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "chains", "originals"])
+
+    # the candidates of a suspicious word don't change from round to round
+    rows = per_word.where(F.col("word").rlike(first.java_pattern)).select("word", "n", "sources", "counts")
+    suspects = cut(rows.mapInArrow(propose, "word string, n bigint, sources array<string>, counts array<bigint>, chains array<string>, originals array<string>"))
+    box.destroy()
+    model = Model(chars, to_tables(base, passed(everything, suspects.select("word", "n", "chains", "originals"), start)), {})
     for _ in range(rounds):
         sums = passed(model, suspects, expect)
         overall: Counter = Counter()
@@ -478,12 +497,12 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
         m = box.value
         for batch in batches:
             d = batch.to_pydict()
-            rows = [(w, n, pickle.dumps(m.positive(w))) for w, n in zip(d["word"], d["n"]) if m.suspicious.search(w)]
+            rows = [(w, n, pickle.dumps(m.positive(w, dict(zip(c, o))))) for w, n, c, o in zip(*(d[k] for k in ("word", "n", "chains", "originals")))]
             columns = zip(*rows) if rows else ([], [], [])
             kinds = (pa.string(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["word", "n", "e"])
 
-    often = suspects.where("n > 1").select("word", "n").mapInArrow(judge, "word string, n bigint, e binary")
+    often = suspects.where("n > 1").select("word", "n", "chains", "originals").mapInArrow(judge, "word string, n bigint, e binary")
     got = often.orderBy(F.desc("n"), "word").limit(READY_WORDS).toArrow().to_pydict()
     model.ready = {w: pickle.loads(e) for w, e in zip(got["word"], got["e"])}
     box.destroy()
