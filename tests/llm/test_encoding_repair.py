@@ -74,3 +74,16 @@ def test_chains_undo_what_they_name(codec):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert r.repair(df, r.fit(df)).count() == 0
+
+
+def test_words_of_one_character(spark):
+    rng = random.Random(5)
+    rows = [[i, " ".join(rng.choice([*(CYR if i % 2 else WORDS), *("уо–" if i % 2 else "–")]) for _ in range(40)), "s"] for i in range(300)]
+    clean = "Седница у служба – правилник о обнову у библиотека о закона"
+    other = "klub – rok za grijanja – predsjednik"
+    rows += [[1000, garble(clean, "cp1251", "cp1252"), "s"], [1001, other.replace("–", "\x96"), "s"], [1002, "klub ó rok za î grijanja", "s"]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = {x.doc_id: (x.status, x.text) for x in r.repair(df, r.fit(df)).collect()}
+    assert out[1000] == ("restored", clean) and out[1001] == ("restored", other)
+    assert out[1002] == ("clean", rows[-1][1])
+    assert {i for i, x in out.items() if x[0] != "clean"} == {1000, 1001}

@@ -77,6 +77,8 @@ LATIN, CYRILLIC, ODD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]"), re.compile("[Ѐ-ԯ
 READY_WORDS = 20_000
 #: Start of the weight of each chain.
 PRIOR = 1e-3
+#: C1 controls but NEL, which ends lines; a clean text has none, so one that a chain turns into a sign counts SIGN for it.
+CONTROL, SIGN = re.compile("[\x80-\x84\x86-\x9f]"), 25.0
 
 
 def byte_map(codec: str) -> dict[int, str]:
@@ -173,6 +175,8 @@ class Model:
         self.utf8 = utf8
         # what one character gains under a table, and the characters worth a test
         self.gain = []
+        # controls that stand for signs
+        self.signs = {chain.name: {chr(c) for c, t in chain.table.items() if t in PUNCTUATION and CONTROL.match(chr(c))} for chain in singles}
         unsafe = {"�", *map(chr, range(0x80, 0xA0))}
         for chain in singles:
             gains = {chr(c): self.char(t) - self.char(chr(c)) for c, t in chain.table.items()}
@@ -283,17 +287,43 @@ class Model:
                 d = self._restore_dropped(chain, r)
                 if d != r:
                     out[f"{chain.name}-"] = d
-        if len(core(word)) > 1:  # one character alone says nothing of an encoding
-            odd = [c for c in word if c > "\x7f"]
-            mixed = MIXED_CASE.search(word)
-            for chain, gains in self.gain:
-                if chain.reads.issuperset(odd):
-                    if sum([gains.get(c, 0.0) for c in odd]) > 0.7:
-                        out[chain.name] = word.translate(chain.table)
-                    elif mixed and not MIXED_CASE.search(r := word.translate(chain.table)):
-                        out[chain.name] = r
-        likely = {r for r in set(out.values()) if self.plausible(word, r)}
-        return {c: r for c, r in out.items() if r in likely}
+        if len(core(word)) > 1:
+            out |= self._by_table(word)
+        elif CONTROL.search(word):  # of characters alone only controls speak for a chain, see ``lone``
+            out |= {c: r for c, r in self._by_table(word).items() if self.makes_signs(c, word)}
+        return self._likely(word, out)
+
+    def _by_table(self, word: str) -> dict[str, str]:
+        out: dict[str, str] = {}
+        odd = [c for c in word if c > "\x7f"]
+        mixed = MIXED_CASE.search(word)
+        for chain, gains in self.gain:
+            if chain.reads.issuperset(odd):
+                if sum([gains.get(c, 0.0) for c in odd]) > 0.7:
+                    out[chain.name] = word.translate(chain.table)
+                elif mixed and not MIXED_CASE.search(r := word.translate(chain.table)):
+                    out[chain.name] = r
+        return out
+
+    def _likely(self, word: str, found: dict[str, str]) -> dict[str, str]:
+        likely = {r for r in set(found.values()) if self.plausible(word, r)}
+        return {c: r for c, r in found.items() if r in likely}
+
+    def makes_signs(self, chain: str, word: str) -> bool:
+        """Whether a one-byte chain turns the controls of a word, and it has some, into signs."""
+        controls = set(CONTROL.findall(word))
+        return bool(controls) and controls <= self.signs.get(chain, set())
+
+    def lone(self, word: str) -> dict[str, tuple[float, str]]:
+        """chain -> (log-likelihood ratio, original) of a word of one character, {} for others.
+
+        It says nothing of an encoding, but is undone where the words beside it have made the chain sure."""
+        if word.isascii() or len(core(word)) > 1:
+            return {}
+        odd = [c for c in word if c > "\x7f"]
+        found = {chain.name: r for chain, _ in self.gain if chain.reads.issuperset(odd) and (r := word.translate(chain.table)) != word}
+        clean = self.log_p(word, 1.0) if found else 0.0
+        return {c: (self.log_p(r, 0.0) - clean, r) for c, r in found.items()}
 
     def evidence(self, word: str, own: float = 1.0, found: dict[str, str] | None = None) -> dict[str, tuple[float, str]]:
         """chain -> (log-likelihood ratio against 'clean', original). Damage has the chain LOST.
@@ -306,7 +336,9 @@ class Model:
         clean = self.log_p(word, own) if found else 0.0
         scored = {r: self.log_p(r, 0.0) - clean for r in set(found.values())}
         out = {c: (scored[r], r) for c, r in found.items()}
-        if "�" in word or re.search("[\x80-\x84\x86-\x9f]", word):
+        if CONTROL.search(word) and not any(c.startswith("utf-8") for c in found):
+            out = {c: (x + SIGN * self.makes_signs(c, word), r) for c, (x, r) in out.items()}
+        if "�" in word or CONTROL.search(word):
             best = max((x[0] for x in out.values()), default=-1.0)
             out[LOST] = (25.0 if "�" in word else 8.0 if best <= 0 else 0.0, word)
         return out
@@ -521,6 +553,7 @@ def repair(documents: DataFrame, model: Model, item: str = "doc_id", text: str =
         m = box.value
         cache: dict[str, dict] = dict(m.ready)
         weigh: dict[tuple, float] = {}
+        lone = functools.lru_cache(10_000)(m.lone)
         for batch in batches:
             out: list[tuple] = []
             for s, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -548,11 +581,18 @@ def repair(documents: DataFrame, model: Model, item: str = "doc_id", text: str =
                 if not sure:
                     out.append(("clean", None, 0, t))
                     continue
-                changed = {}
+                changed, used = {}, Counter()
                 for w, e in found.items():
                     ways = {c: x for c, x in e.items() if c in sure and c != LOST}
                     if ways:
-                        changed[w] = max(ways.items(), key=lambda x: (sure[x[0]], x[0]))[1][1]
+                        c, (_, changed[w]) = max(ways.items(), key=lambda x: (sure[x[0]], x[0]))
+                        used[c] += 1
+                if used:
+                    for w in set(words_of(t)) - changed.keys():
+                        # the more words a chain has changed, the likelier it has hit this one
+                        ways = {c: r for c, (x, r) in lone(w).items() if used[c] and x + math.log(used[c]) > 0}
+                        if ways:
+                            changed[w] = max(ways.items(), key=lambda x: (sure[x[0]], x[0]))[1]
                 fixed = re.sub(f"[^{SPACES}]+", lambda x: changed.get(x[0], x[0]), t) if changed else t
                 status = ("partly" if LOST in sure else "restored") if changed else LOST
                 out.append((status, max(sure, key=lambda c: (sure[c], c)), len(changed), fixed))
