@@ -53,6 +53,17 @@ def test_flat_tables_are_linked(spark):
     assert nested.record_table(recs).first().dataset == "d"
 
 
+def test_flat_tables_hold_the_whole_content(spark):
+    stress = [{"words_align_idx": 3, "raw": [1.11, 1.19]}, {"words_align_idx": 4, "raw": "[2, 2.5]"}, {"words_align_idx": None, "raw": None}, {"raw": [1, None]}]
+    person = {"Lang": "sl", "Memberships": [{"Speaker_party": "P", "Roles": [{"Role": "member", "Since": "1998"}, "chair"]}]}
+    r = {"instance_id": "a", "metadata": {"lang": "hr", "primary_stress": stress, "speaker_info": person}}
+    recs = nested.records(spark.createDataFrame([(1, "f", AT, json.dumps(r))], LINES))
+    table = lambda c: nested.child_table(nested.children(recs), c).orderBy("pos").collect()
+    assert [(x.words_align_idx, x.raw) for x in table("primary_stress")] == [(3, [1.11, 1.19]), (4, [2.0, 2.5]), (None, None), (None, [1.0, None])]
+    assert [(x.role, x.since) for x in table("roles")] == [("member", "1998"), (None, None)] and table("roles")[1].value == "chair"
+    assert (nested.record_table(recs).first().lang, nested.record_table(recs).first().speaker_lang) == ("hr", "sl")
+
+
 def brute(rows):
     groups = {}
     for item, layer, s, e in rows:

@@ -131,25 +131,33 @@ def record_table(recs: DataFrame) -> DataFrame:
         F.try_variant_get("_m", "$.audio_length", "double").alias("audio_length"),
         text(F.col("_m"), "lang"),
         *[text(F.col("_s"), k) for k in ("Speaker_ID", "Speaker_name", "Speaker_gender", "Speaker_birth", "Date")],
+        text(F.col("_s"), "Lang").alias("speaker_lang"),
     )
 
 
 #: child -> columns of its flat table: name -> (JSON key, type).
 COLUMNS = {
     "words_align": {"time_s": ("time_s", "double"), "time_e": ("time_e", "double"), "char_s": ("char_s", "int"), "char_e": ("char_e", "int"), "text": ("text", "string")},
-    "primary_stress": {"words_align_idx": ("words_align_idx", "int")},
+    "primary_stress": {"words_align_idx": ("words_align_idx", "int"), "raw": ("raw", "array<double>")},
     "filled_pauses": {"time_s": ("time_s", "double"), "time_e": ("time_e", "double")},
     "memberships": {"party": ("Speaker_party", "string"), "status": ("Party_status", "string")},
-    "roles": {"role": ("role", "string"), "value": ("", "string")},
+    "roles": {"role": ("Role", "string"), "since": ("Since", "string"), "value": ("", "string")},
     "labels": {"value": ("", "string")},
 }
 
 
+def numbers(node: Column) -> Column:
+    """The array<double> of a list, of what a JSON string holds or of a lone number; NULL if there is none."""
+    listed = let(opened(node), lambda n: F.when(present(n), entries(n)))
+    return F.transform(listed, lambda x: F.try_variant_get(x, "$", "double"))
+
+
 def child_table(kids: DataFrame, child: str) -> DataFrame:
     """The typed flat table of one kind of child, keyed by instance_id, parent_pos, pos."""
     own = kids.where(F.col("child").startswith("labels.") if child == "labels" else F.col("child") == child)
     path = lambda key: f"$['{key}']" if key else "$"
+    cell = lambda key, kind: numbers(field(F.col("node"), key)) if kind == "array<double>" else F.try_variant_get("node", path(key), kind)
     return own.select(
         "instance_id", "child", "parent_pos", "pos",
-        *[F.try_variant_get("node", path(key), kind).alias(name) for name, (key, kind) in COLUMNS[child].items()],
+        *[cell(key, kind).alias(name) for name, (key, kind) in COLUMNS[child].items()],
     )
