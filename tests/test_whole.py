@@ -1,0 +1,25 @@
+"""Queries over all rows against the SQL of their narrower ones without its bounds."""
+
+import pytest
+from test_entry import DIR, duck, pytestmark, rows  # noqa: F401
+
+from tierflow.plans import registry
+
+#: query -> what is taken out of the SQL of the query without ``_all``.
+WIDER = [
+    ("frame_labels_round_all", {" AND metadata.audio_length < 12": ""}),
+    ("frame_labels_floor_all", {" AND metadata.audio_length < 12": ""}),
+    ("window_around_events_all", {" AND metadata.audio_length < 12": ""}),
+    # more
+]
+
+
+@pytest.mark.parametrize("name, changes", WIDER, ids=[n for n, _ in WIDER])
+def test_whole(spark, duck, name, changes):  # noqa: F811
+    sql = narrow = registry.ORACLE[name.removesuffix("_all")]
+    for old, new in changes.items():
+        assert old in sql
+        sql = sql.replace(old, new)
+    want = rows(duck.sql(sql).to_arrow_table())
+    assert want != rows(duck.sql(narrow).to_arrow_table())
+    assert rows(registry.QUERIES[name](spark, DIR).toArrow()) == want

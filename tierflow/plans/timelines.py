@@ -90,19 +90,33 @@ _FP = f"""WITH {CUR}, f AS (SELECT instance_id, metadata.filled_pauses AS fp, me
 AND list_bool_and(list_transform(metadata.filled_pauses, lambda p: p.time_s IS NOT NULL AND p.time_e IS NOT NULL)))"""
 
 
-def _pauses(spark, d):
+def _all_pauses(spark, d):
     p = F.col("metadata.filled_pauses")
     whole = F.forall(p, lambda x: x["time_s"].isNotNull() & x["time_e"].isNotNull())
-    u = cur(spark, d).where((F.size(p) > 0) & (F.col("metadata.audio_length") < 12) & whole)
+    u = cur(spark, d).where((F.size(p) > 0) & F.col("metadata.audio_length").isNotNull() & whole)
     return u.select("instance_id", p.alias("fp"), F.col("metadata.audio_length").alias("d"))
 
 
+def _pauses(spark, d):
+    return _all_pauses(spark, d).where("d < 12")
+
+
 @query(_FP + """ SELECT instance_id, len(x) AS n, CAST(list_sum(x) AS BIGINT) AS ones, list_position(x, 1) AS first FROM (SELECT instance_id, list_transform(range(CAST(round_even(d * 50, 0) AS BIGINT)),
 lambda t: CAST(len(list_filter(fp, lambda p: t >= round_even(p.time_s * 50, 0) AND t < round_even(p.time_e * 50, 0))) > 0 AS INT)) AS x FROM f)""")
 def frame_labels_round(spark, d):
     """Intervals as frames, edges rounded half to even."""
+    return _frames_round(_pauses(spark, d))
+
+
+@query()
+def frame_labels_round_all(spark, d):
+    """frame_labels_round of utterances of any length."""
+    return _frames_round(_all_pauses(spark, d))
+
+
+def _frames_round(pauses):
     x = frames.rasterise_rounded("fp", "d", 50)
-    return _pauses(spark, d).select("instance_id", x.alias("x")).select(
+    return pauses.select("instance_id", x.alias("x")).select(
         "instance_id", F.size("x").cast("bigint").alias("n"), frames.total("x").alias("ones"), F.nullif(F.array_position("x", 1), F.lit(0)).cast("int").alias("first")
     )
 
@@ -111,15 +125,35 @@ def frame_labels_round(spark, d):
 lambda t: CAST(len(list_filter(fp, lambda p: p.time_e > p.time_s AND t >= floor(p.time_s * 50) AND t < ceil(p.time_e * 50))) > 0 AS INT)) AS x FROM f)""")
 def frame_labels_floor(spark, d):
     """Intervals as frames, every touched frame counts."""
+    return _frames_floor(_pauses(spark, d))
+
+
+@query()
+def frame_labels_floor_all(spark, d):
+    """frame_labels_floor of utterances of any length."""
+    return _frames_floor(_all_pauses(spark, d))
+
+
+def _frames_floor(pauses):
     x = frames.rasterise_touched("fp", "d", 50)
-    return _pauses(spark, d).select("instance_id", x.alias("x")).select("instance_id", F.size("x").cast("bigint").alias("n"), frames.total("x").alias("ones"))
+    return pauses.select("instance_id", x.alias("x")).select("instance_id", F.size("x").cast("bigint").alias("n"), frames.total("x").alias("ones"))
 
 
 @query(_FP + """, w AS (SELECT instance_id, round_even(round(greatest(0, fp[1].time_s - 2) * 1000, 6), 0) / 1000 AS window_start, round_even(round(least(d, fp[len(fp)].time_e + 2) * 1000, 6), 0) / 1000 AS window_end FROM f)
 SELECT instance_id, window_start, window_end, CAST(round_even(window_end * 50, 0) - greatest(round_even(window_start * 50, 0), 0) AS BIGINT) AS frames FROM w WHERE window_end >= window_start""")
 def window_around_events(spark, d):
     """The window around a recording's events, and its frames."""
-    out = reshape.window_records(_pauses(spark, d), F.col("fp"), F.col("d"), 2.0, 50).where("window_end >= window_start")
+    return _windows(_pauses(spark, d))
+
+
+@query()
+def window_around_events_all(spark, d):
+    """window_around_events of utterances of any length."""
+    return _windows(_all_pauses(spark, d))
+
+
+def _windows(pauses):
+    out = reshape.window_records(pauses, F.col("fp"), F.col("d"), 2.0, 50).where("window_end >= window_start")
     n = F.rint(F.col("window_end") * 50) - F.greatest(F.rint(F.col("window_start") * 50), F.lit(0.0))
     return out.select("instance_id", "window_start", "window_end", n.cast("bigint").alias("frames"))
 
