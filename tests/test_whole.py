@@ -10,6 +10,7 @@ WIDER = [
     ("frame_labels_round_all", {" AND metadata.audio_length < 12": ""}),
     ("frame_labels_floor_all", {" AND metadata.audio_length < 12": ""}),
     ("window_around_events_all", {" AND metadata.audio_length < 12": ""}),
+    ("split_override_all", {" AND instance_id < 'm'": ""}),
     # more
 ]
 

@@ -98,9 +98,19 @@ FROM cur LEFT JOIN by_file f ON f.file_id = cur.file_id LEFT JOIN by_stem w ON w
 )
 def split_override(spark, d):
     """Splits of a look-up by file, else by audio stem, else by hash."""
+    return _override(spark, d, "instance_id < 'm'")
+
+
+@query()
+def split_override_all(spark, d):
+    """split_override with all files of the look-up."""
+    return _override(spark, d, "true")
+
+
+def _override(spark, d, looked_up):
     f = table(spark, d, "frame_records").where(F.col("split").isin("train", "dev", "test"))
     u = cur(spark, d).select("instance_id", "file_id", "audio_path")
-    by_file = f.where("instance_id < 'm'").select("file_id", "split")
+    by_file = f.where(looked_up).select("file_id", "split")
     by_stem = f.select(F.col("instance_id").alias("wav_stem"), "split")
     fallback = splits.hash_split(F.col("file_id"), F.col("instance_id"))
     return splits.override_split(u, by_file, by_stem, ids.stem("audio_path"), fallback).select("instance_id", "split")
