@@ -11,6 +11,7 @@ WIDER = [
     ("frame_labels_floor_all", {" AND metadata.audio_length < 12": ""}),
     ("window_around_events_all", {" AND metadata.audio_length < 12": ""}),
     ("split_override_all", {" AND instance_id < 'm'": ""}),
+    ("manifest_join_all", {"FROM orders JOIN": "FROM orders LEFT JOIN", "\nJOIN nation": "\nLEFT JOIN nation", " WHERE n_regionkey = 3": ""}),
     # more
 ]
 

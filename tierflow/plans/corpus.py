@@ -582,5 +582,17 @@ def manifest_join(spark, d):
     """A manifest joined to its look-ups and summed."""
     t = lambda n: table(spark, d, n)
     j = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation").where("n_regionkey = 3"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return _manifest_sums(j)
+
+
+@query()
+def manifest_join_all(spark, d):
+    """All orders with what the look-ups know of them, summed."""
+    t = lambda n: table(spark, d, n)
+    j = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"), "left").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return _manifest_sums(j)
+
+
+def _manifest_sums(j):
     cents = F.sum(F.rint(F.col("o_totalprice") * 100).cast("bigint"))
     return j.groupBy("o_orderpriority", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.round(cents.cast("double") / 100, 2).alias("total"))
