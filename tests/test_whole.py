@@ -12,6 +12,10 @@ WIDER = [
     ("window_around_events_all", {" AND metadata.audio_length < 12": ""}),
     ("split_override_all", {" AND instance_id < 'm'": ""}),
     ("manifest_join_all", {"FROM orders JOIN": "FROM orders LEFT JOIN", "\nJOIN nation": "\nLEFT JOIN nation", " WHERE n_regionkey = 3": ""}),
+    ("confusion_matrix_all", {"labels.sentiment_6 IN ('Positive', 'Negative', 'NeutralPos')": "labels.sentiment_6 IS NOT NULL", "SELECT unnest(['Negative', 'NeutralPos', 'Positive']) AS x": "SELECT label AS x FROM l"}),
+    ("macro_f1_all", {"labels.sentiment_6 IN ('Positive', 'Negative', 'NeutralPos')": "labels.sentiment_6 IS NOT NULL"}),
+    ("class_report_all", {"labels.sentiment_6 IN ('Positive', 'Negative', 'NeutralPos')": "labels.sentiment_6 IS NOT NULL"}),
+    ("balance_classes_all", {"labels.sentiment_6 IN ('Positive','Negative','M_Positive')": "labels.sentiment_6 IS NOT NULL"}),
     # more
 ]
 

@@ -20,9 +20,13 @@ def frame_confusion(df: DataFrame, gold: Column, pred: Column) -> DataFrame:
     return pairs.groupBy("gold", "pred").agg(F.count(F.lit(1)).alias("n"))
 
 
-def full_confusion(conf: DataFrame, order: list[str]) -> DataFrame:
-    """Every cell of the label order with n (0 if empty) and pct of its gold row (0 for empty rows)."""
-    names = conf.sparkSession.createDataFrame([(a, b) for a in order for b in order], conf.select("gold", "pred").schema)
+def full_confusion(conf: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Every cell of the label order (else of all labels seen) with n (0 if empty) and pct of its gold row (0 for empty rows)."""
+    if order is None:
+        seen = conf.select("gold").union(conf.select("pred")).distinct()
+        names = seen.crossJoin(seen.withColumnRenamed("gold", "pred"))
+    else:
+        names = conf.sparkSession.createDataFrame([(a, b) for a in order for b in order], conf.select("gold", "pred").schema)
     row = Window.partitionBy("gold")
     cells = names.join(conf, ["gold", "pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return cells.withColumn("pct", F.coalesce(F.col("n") * 100.0 / F.nullif(F.sum("n").over(row), F.lit(0)), F.lit(0.0)))

@@ -133,7 +133,16 @@ WHERE r <= n.n GROUP BY c"""
 )
 def balance_classes(spark, d):
     """As many rows of each class as the smallest has."""
-    u = cur(spark, d).where(F.col("labels.sentiment_6").isin("Positive", "Negative", "M_Positive"))
+    return _balanced(cur(spark, d).where(F.col("labels.sentiment_6").isin("Positive", "Negative", "M_Positive")))
+
+
+@query()
+def balance_classes_all(spark, d):
+    """balance_classes of every class seen."""
+    return _balanced(cur(spark, d).where("labels.sentiment_6 is not null"))
+
+
+def _balanced(u):
     drawn = splits.balance_classes(u.select("instance_id", F.col("labels.sentiment_6").alias("label")), F.col("label"))
     return drawn.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 

@@ -329,12 +329,16 @@ l AS (SELECT gold AS label FROM c UNION SELECT pred FROM c),
 f AS (SELECT label, coalesce((SELECT sum(n) FROM c WHERE gold = label AND pred = label), 0) AS tp, coalesce((SELECT sum(n) FROM c WHERE gold = label), 0) AS g, coalesce((SELECT sum(n) FROM c WHERE pred = label), 0) AS p FROM l)"""
 
 
-def _confusion(spark, d):
-    u = cur(spark, d).where(F.col("labels.sentiment_6").isin("Positive", "Negative", "NeutralPos") & F.col("labels.sentiment_logit").isNotNull())
+def _all_confusion(spark, d):
+    u = cur(spark, d).where(F.col("labels.sentiment_6").isNotNull() & F.col("labels.sentiment_logit").isNotNull())
     pred = F.when(F.col("labels.sentiment_logit") > 0, "Positive").otherwise("Negative")
     return metrics.confusion(u.select(F.col("labels.sentiment_6").alias("g"), pred.alias("p")), "g", "p")
 
 
+def _confusion(spark, d):
+    return _all_confusion(spark, d).where(F.col("gold").isin("Positive", "Negative", "NeutralPos"))
+
+
 @query(_CONF + """, o AS (SELECT unnest(['Negative', 'NeutralPos', 'Positive']) AS x), cell AS (SELECT a.x AS gold, b.x AS pred, coalesce(n, 0) AS n FROM o a CROSS JOIN o b LEFT JOIN c ON c.gold = a.x AND c.pred = b.x)
 SELECT gold, pred, n, round(coalesce(n * 100.0::DOUBLE / nullif(sum(n) OVER (PARTITION BY gold), 0), 0), 6) AS pct FROM cell""")
 def confusion_matrix(spark, d):
@@ -342,12 +346,24 @@ def confusion_matrix(spark, d):
     return metrics.full_confusion(_confusion(spark, d), ["Negative", "NeutralPos", "Positive"]).withColumn("pct", F.round("pct", 6))
 
 
+@query()
+def confusion_matrix_all(spark, d):
+    """confusion_matrix of every label seen."""
+    return metrics.full_confusion(_all_confusion(spark, d)).withColumn("pct", F.round("pct", 6))
+
+
 @query(_CONF + """ SELECT (SELECT round(sum(n) FILTER (gold = pred) / sum(n), 6) FROM c) AS accuracy, round(avg(CASE WHEN g + p > 0 THEN 2.0::DOUBLE * tp / (g + p) ELSE 0 END), 6) AS macro_f1 FROM f""")
 def macro_f1(spark, d):
     """Accuracy and macro-F1."""
     return metrics.classification_metrics(_confusion(spark, d)).select(F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))
 
 
+@query()
+def macro_f1_all(spark, d):
+    """macro_f1 of every label seen."""
+    return metrics.classification_metrics(_all_confusion(spark, d)).select(F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))
+
+
 @query(_CONF + """ SELECT label, round(coalesce(tp / nullif(p, 0), 0), 6) AS precision, round(coalesce(tp / nullif(g, 0), 0), 6) AS recall, round(coalesce(2.0::DOUBLE * tp / nullif(g + p, 0), 0), 6) AS f1, CAST(g AS BIGINT) AS support FROM f""")
 def class_report(spark, d):
     """Precision, recall, F1 and support of each class."""
@@ -355,6 +371,13 @@ def class_report(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
+@query()
+def class_report_all(spark, d):
+    """class_report of every label seen."""
+    out = metrics.class_report(_all_confusion(spark, d))
+    return out.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
 @query(f"""WITH {_BITS}, p AS (SELECT unnest(b[1:32]) AS g, unnest(b[33:64]) AS p FROM bits), s AS (SELECT sum(CAST(g = p AS INT)) / count(*) AS acc, sum(g * p) AS tp, sum(g) AS g1, sum(p) AS p1, count(*) AS n, sum((1 - g) * (1 - p)) AS tn FROM p)
 SELECT round(acc, 6) AS accuracy, round((2.0::DOUBLE * tp / (g1 + p1) + 2.0::DOUBLE * tn / (2 * n - g1 - p1)) / 2, 6) AS macro_f1, round(2.0::DOUBLE * tp / (g1 + p1), 6) AS f1_positive FROM s""")
 def frame_metrics(spark, d):
