@@ -16,6 +16,8 @@ WIDER = [
     ("macro_f1_all", {"labels.sentiment_6 IN ('Positive', 'Negative', 'NeutralPos')": "labels.sentiment_6 IS NOT NULL"}),
     ("class_report_all", {"labels.sentiment_6 IN ('Positive', 'Negative', 'NeutralPos')": "labels.sentiment_6 IS NOT NULL"}),
     ("balance_classes_all", {"labels.sentiment_6 IN ('Positive','Negative','M_Positive')": "labels.sentiment_6 IS NOT NULL"}),
+    ("frame_errors_all", {"range(1, 4)": "range(1, 33)"}),
+    ("frame_pad_slice_all", {"b[1:10]": "b", "range(2)": "range(16)"}),
     # more
 ]
 

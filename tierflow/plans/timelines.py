@@ -183,8 +183,17 @@ def conv_output_length(spark, d):
 @query(f"WITH {_BITS} SELECT vec_id, b[1:10] || list_transform(range(2), lambda i: -100) AS padded, b[11:20] AS sliced FROM bits")
 def frame_pad_slice(spark, d):
     """Frames cut, padded with the ignored label, and sliced by time."""
-    b = F.slice("b", 1, 10)
-    return _bits(spark, d).select("vec_id", frames.pad(b, F.lit(12)).alias("padded"), frames.frame_slice("b", F.lit(0.2), F.lit(0.4), F.lit(50)).alias("sliced"))
+    return _padded(spark, d, F.slice("b", 1, 10), 12)
+
+
+@query()
+def frame_pad_slice_all(spark, d):
+    """frame_pad_slice with whole sequences, padded to 80."""
+    return _padded(spark, d, F.col("b"), 80)
+
+
+def _padded(spark, d, b, to):
+    return _bits(spark, d).select("vec_id", frames.pad(b, F.lit(to)).alias("padded"), frames.frame_slice("b", F.lit(0.2), F.lit(0.4), F.lit(50)).alias("sliced"))
 
 
 @query("""WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS e FROM embeddings), m AS (SELECT vec_id, e, list_max(e) AS t FROM x),
@@ -199,10 +208,16 @@ def softmax_argmax(spark, d):
 len(list_filter(range(1, 33), lambda i: b[i] <> b[i + 32])) / 32.0::DOUBLE AS rate, list_transform(range(1, 4), lambda i: CASE WHEN b[i] = 1 AND b[i + 32] = 1 THEN 'hit' WHEN b[i] = 1 THEN 'miss' WHEN b[i + 32] = 1 THEN 'false' ELSE 'none' END) AS outcome FROM bits""")
 def frame_errors(spark, d):
     """Sums, mismatches and outcomes of frames against other frames."""
+    return frame_errors_all(spark, d).withColumn("outcome", F.slice("outcome", 1, 3))
+
+
+@query()
+def frame_errors_all(spark, d):
+    """frame_errors with the outcomes of all frames."""
     g, p = F.slice("b", 1, 32), F.slice("b", 33, 32)
     return _bits(spark, d).select(
         "vec_id", frames.total("b").alias("ones"), frames.any_positive("b").alias("any_one"), frames.mismatches(g, p).alias("wrong"),
-        frames.error_rate(g, p).alias("rate"), F.slice(frames.outcome(g, p), 1, 3).alias("outcome"),
+        frames.error_rate(g, p).alias("rate"), frames.outcome(g, p).alias("outcome"),
     )
 
 
