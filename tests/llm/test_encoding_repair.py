@@ -87,3 +87,14 @@ def test_words_of_one_character(spark):
     assert out[1000] == ("restored", clean) and out[1001] == ("restored", other)
     assert out[1002] == ("clean", rows[-1][1])
     assert {i for i, x in out.items() if x[0] != "clean"} == {1000, 1001}
+
+
+@pytest.mark.parametrize("word", ["реструктурирање", "реструктурирање" * 40])
+def test_all_dropped_bytes_are_filled_in(word):
+    sums = r.Counter()
+    for w in [word, *CYR, *WORDS]:
+        r.add_word(sums, w, 50.0)
+    chars = r.Counter(c for w in [word, *CYR, *WORDS] for c in w.lower() if c > "\x7f")
+    model = r.Model({c: 50.0 * n for c, n in chars.items()}, r.to_tables(sums), {})
+    damaged = "".join(c for c in garble(word, "utf-8", "latin-1") if not "\x80" <= c <= "\x9f")
+    assert model.candidates(damaged)["utf-8>latin-1-"] == word

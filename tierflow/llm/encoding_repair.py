@@ -31,6 +31,7 @@ tested like any other; records that need no repair come out as they are.
 from __future__ import annotations
 
 import functools
+import heapq
 import math
 import pickle
 import re
@@ -75,6 +76,8 @@ CAPITAL = "ŠŽČĆĐŁŃŚŹŻĄĘĚŘŮŇŤĎÁÉÍÓÚÝ"
 LATIN, CYRILLIC, ODD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]"), re.compile("[Ѐ-ԯ]"), 20.0
 #: Most words whose evidence is worked out before the repair and handed to its tasks.
 READY_WORDS = 20_000
+#: Beginnings of a word kept while lone lead characters are filled in; one character has at most 34 completions.
+BEAM = 40
 #: Start of the weight of each chain.
 PRIOR = 1e-3
 #: C1 controls but NEL, which ends lines; a clean text has none, so one that a chain turns into a sign counts SIGN for it.
@@ -226,6 +229,13 @@ class Model:
         a, b = set(word), set(original)
         return self.rarest(b - a) + 1.0 >= self.rarest(a - b)
 
+    def _counts(self, t: str) -> tuple[float, float, float]:
+        """Of a trigram, of its beginning, and what its last character counts besides."""
+        if len(self.known) > 200_000:
+            self.known.clear()
+        found = self.known[t] = (float(self.three[bucket(t)]), float(self.two[bucket(t[:2])]), 2.0 * math.exp(self.char(t[-1])))
+        return found
+
     def log_p(self, word: str, own: float) -> float:
         """Log probability of a word; ``own`` of its counts are its own and left out."""
         key = core(word)
@@ -236,9 +246,7 @@ class Model:
             t = s[i - 2 : i + 1]
             found = known.get(t)
             if found is None:
-                if len(known) > 200_000:
-                    known.clear()
-                found = known[t] = (float(self.three[bucket(t)]), float(self.two[bucket(t[:2])]), 2.0 * math.exp(self.char(t[2])))
+                found = self._counts(t)
             c3, c2, base = found
             if own:
                 c3, c2 = c3 - own if c3 > own else 0.0, c2 - own if c2 > own else 0.0
@@ -253,16 +261,28 @@ class Model:
         return math.log(0.5 * whole + 0.5 * math.exp(max(out, -600.0)) + 1e-300)
 
     def _restore_dropped(self, chain: Utf8Chain, word: str) -> str:
-        """Lone lead characters replaced one by one by the likeliest completion."""
-        at = 0
-        for _ in range(8):
-            m = chain.lone.search(word, at)
-            if not m:
-                break
-            options = [word[: m.start()] + c + word[m.end() :] for c in chain.dropped[m[0]]]
-            best = max(options, key=lambda w: self.log_p(w, 0.0), default=word)
-            word, at = best, m.start() + 1
-        return word
+        """The likeliest completion of all lone lead characters; work is linear in the word's length.
+
+        From left to right the BEAM likeliest beginnings are kept by their trigrams; of whole words the likeliest is taken."""
+        ways: list[tuple] = [(0.0, "\x02\x02", None)]  # score, last two characters, (character, what is before it)
+        for c in [*word, "\x03"]:
+            options = chain.dropped.get(c) or [c]
+            more = []
+            for score, last, before in ways:
+                for o in options:
+                    t = last + o.lower()
+                    c3, c2, base = self.known.get(t) or self._counts(t)
+                    more.append((score + math.log((c3 + base) / (max(c3, c2) + 2.0)), t[-2:], (o, before)))
+            ways = more if len(more) <= BEAM else heapq.nlargest(BEAM, more, key=lambda x: x[0])
+
+        def whole(way: tuple) -> str:
+            out, link = [], way[2][1]  # without the end mark
+            while link:
+                out.append(link[0])
+                link = link[1]
+            return "".join(reversed(out))
+
+        return max(map(whole, ways), key=lambda w: self.log_p(w, 0.0))
 
     def candidates(self, word: str) -> dict[str, str]:
         """chain -> what the word would be without it."""
