@@ -14,7 +14,10 @@ AT = datetime(2024, 1, 1)
 
 def kids(spark, *records):
     rows = [(i, "f", AT, r if isinstance(r, str) or r is None else json.dumps(r)) for i, r in enumerate(records)]
-    out = nested.children(nested.records(spark.createDataFrame(rows, LINES)))
+    recs = nested.records(spark.createDataFrame(rows, LINES))
+    out = nested.children(recs)
+    places = sorted(map(tuple, nested.child_positions(recs).select("instance_id", "child", "parent_pos", "pos").collect()))
+    assert places == sorted(map(tuple, out.select("instance_id", "child", "parent_pos", "pos").collect()))
     return sorted((r.instance_id, r.child, r.parent_pos, r.pos) for r in out.select("instance_id", "child", "parent_pos", "pos").collect())
 
 
@@ -47,9 +50,9 @@ def test_the_latest_valid_line_counts(spark):
 def test_flat_tables_are_linked(spark):
     r = {"instance_id": "a", "dataset": "d", "metadata": {"words_align": [{"time_s": 0.5, "text": "da"}], "speaker_info": {"Memberships": [{"Speaker_party": "P"}]}}}
     recs = nested.records(spark.createDataFrame([(1, "f", AT, json.dumps(r))], LINES))
-    words = nested.child_table(nested.children(recs), "words_align").first()
+    words = nested.child_table(recs, "words_align").first()
     assert (words.instance_id, words.pos, words.time_s, words.text) == ("a", 0, 0.5, "da")
-    assert nested.child_table(nested.children(recs), "memberships").first().party == "P"
+    assert nested.child_table(recs, "memberships").first().party == "P"
     assert nested.record_table(recs).first().dataset == "d"
 
 
@@ -58,7 +61,7 @@ def test_flat_tables_hold_the_whole_content(spark):
     person = {"Lang": "sl", "Memberships": [{"Speaker_party": "P", "Roles": [{"Role": "member", "Since": "1998"}, "chair"]}]}
     r = {"instance_id": "a", "metadata": {"lang": "hr", "primary_stress": stress, "speaker_info": person}}
     recs = nested.records(spark.createDataFrame([(1, "f", AT, json.dumps(r))], LINES))
-    table = lambda c: nested.child_table(nested.children(recs), c).orderBy("pos").collect()
+    table = lambda c: nested.child_table(recs, c).orderBy("pos").collect()
     assert [(x.words_align_idx, x.raw) for x in table("primary_stress")] == [(3, [1.11, 1.19]), (4, [2.0, 2.5]), (None, None), (None, [1.0, None])]
     assert [(x.role, x.since) for x in table("roles")] == [("member", "1998"), (None, None)] and table("roles")[1].value == "chair"
     assert (nested.record_table(recs).first().lang, nested.record_table(recs).first().speaker_lang) == ("hr", "sl")

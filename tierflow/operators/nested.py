@@ -3,8 +3,9 @@
 Method: one higher-order projection per record. The raw line is parsed to a
 VARIANT; nested ``transform`` calls attach the ancestors' positions, ``flatten``
 joins the arrays of all levels, and one ``inline`` per target table emits its
-rows. Everything stays in the JVM and in one pass after the choice of the
-current line of each record (the only shuffle, at most one row per id and task).
+rows. Everything stays in the JVM after the choice of the current line of each
+record (the only shuffle, at most one row per id and task); a query of one table
+works out nothing of the others.
 
 Shapes: a list is taken as it is; a lone object or scalar is a list of one; a
 string that holds a JSON object or list is what it holds (not in labels).
@@ -15,10 +16,12 @@ current line of a record.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.common import current
+from tierflow.common import current, cut
 from tierflow.functions.values import let
 
 VARIANTS = "array<variant>"
@@ -76,8 +79,11 @@ def records(lines: DataFrame) -> DataFrame:
     return current(parsed, order="_order").select("instance_id", F.try_parse_json("raw").alias("v"))
 
 
-def children(recs: DataFrame) -> DataFrame:
-    """instance_id, child, parent_pos, pos, node: every child row of every record."""
+def child_arrays(recs: DataFrame) -> DataFrame:
+    """instance_id and per kind of child (see COLUMNS) the array<struct<child, parent_pos, pos, node>> of its rows.
+
+    What is made of one kind depends on no other (primary_stress looks at words_align),
+    so a query of one table works out only that table's array."""
     meta = recs.select("instance_id", field(F.col("v"), "labels").alias("_labels"), opened(field(F.col("v"), "metadata")).alias("_m"))
     lists = meta.select(
         "instance_id", "_labels", opened(field(F.col("_m"), "speaker_info")).alias("_s"),
@@ -88,9 +94,7 @@ def children(recs: DataFrame) -> DataFrame:
         F.map_entries(F.coalesce(F.try_variant_get("_labels", "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))).alias("_l"),
     )
     # entries of a list may be JSON strings themselves
-    lists = lists.withColumns(
-        {k: F.transform(k, opened) for k in ("words_align", "primary_stress", "filled_pauses", "memberships")}
-    )
+    lists = lists.withColumns({k: F.transform(k, opened) for k in ("words_align", "primary_stress", "filled_pauses", "memberships")})
 
     def word_at(stress: Column) -> Column:
         def in_words(at: Column) -> Column:
@@ -107,16 +111,32 @@ def children(recs: DataFrame) -> DataFrame:
         )
     )
     labels = F.flatten(F.transform("_l", lambda e: rows_of(entries(e["value"]), F.concat(F.lit("labels."), e["key"]))))
-    every = F.concat(
-        rows_of(F.col("words_align"), F.lit("words_align")),
-        rows_of(F.col("primary_stress"), F.lit("primary_stress"), word_at),
-        rows_of(F.col("filled_pauses"), F.lit("filled_pauses")),
-        rows_of(F.col("memberships"), F.lit("memberships")),
-        roles,
-        labels,
-    )
+    own = lambda k, parent=None: rows_of(F.col(k), F.lit(k), parent).alias(f"_{k}")
+    return lists.select(
+        "instance_id", own("words_align"), own("primary_stress", word_at), own("filled_pauses"), own("memberships"),
+        roles.alias("_roles"), labels.alias("_labels"),
+    )
+
+
+def child_rows(recs: DataFrame, kind: str) -> DataFrame:
+    """instance_id, child, parent_pos, pos, node of one target table: one generator over its own array."""
     # outer, as Catalyst would otherwise work out all rows once more in a filter before the generator
-    return lists.select("instance_id", every.alias("_rows")).select("instance_id", F.inline_outer("_rows")).where("child is not null")
+    return child_arrays(recs).select("instance_id", F.inline_outer(f"_{kind}")).where("child is not null")
+
+
+def children(recs: DataFrame) -> DataFrame:
+    """child_rows of all tables."""
+    return functools.reduce(DataFrame.unionByName, [child_rows(recs, k) for k in COLUMNS])
+
+
+def child_positions(recs: DataFrame) -> DataFrame:
+    """instance_id, child, parent_pos, pos of every child row of every record.
+
+    Each record is parsed once; the places of its children, a column for each target
+    table, are written as a table, of which one generator a target table reads its column."""
+    place = lambda k: F.transform(f"_{k}", lambda r: r.dropFields("node")).alias(k)
+    places = cut(child_arrays(recs).select("instance_id", *[place(k) for k in COLUMNS]))
+    return functools.reduce(DataFrame.unionByName, [places.select("instance_id", F.inline(k)) for k in COLUMNS])
 
 
 def record_table(recs: DataFrame) -> DataFrame:
@@ -152,12 +172,10 @@ def numbers(node: Column) -> Column:
     return F.transform(listed, lambda x: F.try_variant_get(x, "$", "double"))
 
 
-def child_table(kids: DataFrame, child: str) -> DataFrame:
-    """The typed flat table of one kind of child, keyed by instance_id, parent_pos, pos."""
-    own = kids.where(F.col("child").startswith("labels.") if child == "labels" else F.col("child") == child)
+def child_table(recs: DataFrame, kind: str) -> DataFrame:
+    """The typed flat table of one kind of child, keyed by instance_id, child, parent_pos, pos."""
     path = lambda key: f"$['{key}']" if key else "$"
-    cell = lambda key, kind: numbers(field(F.col("node"), key)) if kind == "array<double>" else F.try_variant_get("node", path(key), kind)
-    return own.select(
-        "instance_id", "child", "parent_pos", "pos",
-        *[cell(key, kind).alias(name) for name, (key, kind) in COLUMNS[child].items()],
-    )
+    cell = lambda key, t: numbers(field(F.col("node"), key)) if t == "array<double>" else F.try_variant_get("node", path(key), t)
+    return child_rows(recs, kind).select(
+        "instance_id", "child", "parent_pos", "pos", *[cell(key, t).alias(name) for name, (key, t) in COLUMNS[kind].items()]
+    )

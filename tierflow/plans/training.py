@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.common import current, cut, ms, table
+from tierflow.common import current, ms, table
 from tierflow.operators import nested, periods
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every child row of every record, without its content."""
-    kids = nested.children(nested.records(table(spark, sf_dir, "record_lines")))
-    return kids.select("instance_id", "child", "parent_pos", "pos")
+    return nested.child_positions(nested.records(table(spark, sf_dir, "record_lines")))
 
 
 def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +21,7 @@ def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _child(child: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kids = nested.children(nested.records(table(spark, sf_dir, "record_lines")))
-        return nested.child_table(kids, child)
+        return nested.child_table(nested.records(table(spark, sf_dir, "record_lines")), child)
 
     query.__doc__ = f"The flat table of {child}."
     return query
@@ -79,4 +77,85 @@ SELECT item, layer, 'period' AS kind, start_ms, end_ms FROM period
 UNION ALL SELECT item, layer, 'gap', start_ms, end_ms FROM gap WHERE start_ms IS NOT NULL
 """
 
-ORACLE = {"p7_found": _P7}
+
+
+def _opened(j: str) -> str:
+    held = f"({j} ->> '$')"
+    return rf"(CASE WHEN json_type({j}) = 'VARCHAR' AND regexp_matches({held}, '^\s*[\[{{]') AND json_valid({held}) THEN CAST({held} AS JSON) ELSE {j} END)"
+
+
+def _entries(j: str) -> str:
+    return f"(CASE WHEN {j} IS NULL OR json_type({j}) = 'NULL' THEN [] WHEN json_type({j}) = 'ARRAY' THEN CAST({j} AS JSON[]) ELSE [{j}] END)"
+
+
+def _placed(items: str, parent: str = "-1") -> str:
+    """Entries with their places; nulls fall out later."""
+    return f"unnest(list_transform({items}, lambda x, i: {{'node': x, 'pos': i - 1, 'parent_pos': {parent}}}))"
+
+
+_LISTS = f"""
+WITH valid AS (SELECT line_no, ingested_at, CAST(raw AS JSON) AS j FROM record_lines WHERE json_valid(raw)),
+rec AS (
+  SELECT j ->> '$.instance_id' AS instance_id, j FROM valid WHERE json_type(j) = 'OBJECT' AND j ->> '$.instance_id' IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY j ->> '$.instance_id' ORDER BY ingested_at DESC NULLS LAST, line_no DESC) = 1
+),
+meta AS (SELECT instance_id, j, {_opened("(j -> '$.metadata')")} AS m FROM rec),
+info AS (SELECT instance_id, j, m, {_opened("(m -> '$.speaker_info')")} AS s FROM meta),
+nodes AS (
+  SELECT instance_id, j -> '$.labels' AS labels, {", ".join(f"{_opened(f'(m -> {chr(39)}$.{k}{chr(39)})')} AS {k}" for k in ("words_align", "primary_stress", "filled_pauses"))},
+    {_opened("(s -> '$.Memberships')")} AS memberships FROM info
+),
+lists AS (
+  SELECT instance_id, labels, {", ".join(f"list_transform({_entries(k)}, lambda y: {_opened('y')}) AS {k}" for k in ("words_align", "primary_stress", "filled_pauses", "memberships"))} FROM nodes
+),
+direct AS (
+  SELECT instance_id, 'words_align' AS child, {_placed("words_align")} AS r FROM lists
+  UNION ALL SELECT instance_id, 'filled_pauses', {_placed("filled_pauses")} FROM lists
+  UNION ALL SELECT instance_id, 'memberships', {_placed("memberships")} FROM lists
+),
+flat AS (SELECT instance_id, child, CAST(r.pos AS INT) AS pos, -1 AS parent_pos, r.node AS node FROM direct WHERE r.node IS NOT NULL AND json_type(r.node) <> 'NULL'),
+stress AS (SELECT instance_id, {_placed("primary_stress")} AS r FROM lists),
+marks AS (
+  SELECT instance_id, 'primary_stress' AS child, CAST(r.pos AS INT) AS pos, try_cast(r.node ->> '$.words_align_idx' AS DOUBLE) AS at, r.node AS node
+  FROM stress WHERE r.node IS NOT NULL AND json_type(r.node) <> 'NULL'
+),
+placed AS (
+  SELECT m.instance_id, m.child, m.pos, coalesce(w.pos, -1) AS parent_pos, m.node
+  FROM marks m LEFT JOIN flat w ON w.instance_id = m.instance_id AND w.child = 'words_align' AND w.pos = m.at
+),
+role_lists AS (SELECT instance_id, pos AS parent_pos, list_transform({_entries(_opened("(node -> '$.Roles')"))}, lambda y: {_opened("y")}) AS items FROM flat WHERE child = 'memberships'),
+role_rows AS (SELECT instance_id, {_placed("items", "parent_pos")} AS r FROM role_lists),
+label_keys AS (SELECT instance_id, labels, unnest(json_keys(labels)) AS k FROM lists WHERE json_type(labels) = 'OBJECT'),
+label_rows AS (SELECT instance_id, 'labels.' || k AS child, {_placed(_entries("json_extract(labels, '$.\"' || k || '\"')"))} AS r FROM label_keys),
+every AS (
+  SELECT instance_id, child, parent_pos, pos, node FROM flat UNION ALL SELECT instance_id, child, parent_pos, pos, node FROM placed
+  UNION ALL SELECT instance_id, 'roles', CAST(r.parent_pos AS INT), CAST(r.pos AS INT), r.node FROM role_rows WHERE r.node IS NOT NULL AND json_type(r.node) <> 'NULL'
+  UNION ALL SELECT instance_id, child, -1, CAST(r.pos AS INT), r.node FROM label_rows WHERE r.node IS NOT NULL AND json_type(r.node) <> 'NULL'
+)
+"""
+
+
+def _cell(key: str, kind: str) -> str:
+    if kind == "array<double>":
+        node = f"(node -> '$.{key}')"
+        return f"CASE WHEN json_type({node}) <> 'NULL' THEN list_transform({_entries(_opened(node))}, lambda x: try_cast(x ->> '$' AS DOUBLE)) END"
+    text = f"(node ->> '$.{key}')" if key else "(node ->> '$')"
+    return text if kind == "string" else f"try_cast({text} AS {kind})"
+
+
+def _child_sql(kind: str) -> str:
+    own = "starts_with(child, 'labels.')" if kind == "labels" else f"child = '{kind}'"
+    return f"{_LISTS} SELECT instance_id, child, parent_pos, pos, {', '.join(f'{_cell(*c)} AS {n}' for n, c in nested.COLUMNS[kind].items())} FROM every WHERE {own}"
+
+
+_RECORD_COLUMNS = {
+    **{k: ("j", k) for k in ("dataset", "file_id", "speaker", "split", "text")}, "source_audio": ("m", "source_audio"), "lang": ("m", "lang"),
+    **{k.lower(): ("s", k) for k in ("Speaker_ID", "Speaker_name", "Speaker_gender", "Speaker_birth", "Date")}, "speaker_lang": ("s", "Lang"),
+}
+
+ORACLE = {
+    "p7_found": _P7,
+    "p3_found": _LISTS + "SELECT instance_id, child, parent_pos, pos FROM every",
+    "p3_records": _LISTS + f"SELECT instance_id, try_cast(m ->> '$.audio_length' AS DOUBLE) AS audio_length, {', '.join(f'{n} ->> {chr(39)}$.{k}{chr(39)} AS {c}' for c, (n, k) in _RECORD_COLUMNS.items())} FROM info",
+    **{f"p3_{k}": _child_sql(k) for k in nested.COLUMNS},
+}
