@@ -1,8 +1,11 @@
 """Nested records and periods: edge cases and brute force."""
 
 import json
+import random
 from datetime import datetime
 
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -14,11 +17,8 @@ AT = datetime(2024, 1, 1)
 
 def kids(spark, *records):
     rows = [(i, "f", AT, r if isinstance(r, str) or r is None else json.dumps(r)) for i, r in enumerate(records)]
-    recs = nested.records(spark.createDataFrame(rows, LINES))
-    out = nested.children(recs)
-    places = sorted(map(tuple, nested.child_positions(recs).select("instance_id", "child", "parent_pos", "pos").collect()))
-    assert places == sorted(map(tuple, out.select("instance_id", "child", "parent_pos", "pos").collect()))
-    return sorted((r.instance_id, r.child, r.parent_pos, r.pos) for r in out.select("instance_id", "child", "parent_pos", "pos").collect())
+    out = nested.child_positions(nested.records(spark.createDataFrame(rows, LINES)))
+    return sorted((r.instance_id, r.child, r.parent_pos, r.pos) for r in out.collect())
 
 
 def test_null_entries_keep_their_place(spark):
@@ -85,18 +85,43 @@ def brute(rows):
     return sorted(out, key=repr)
 
 
-time = st.one_of(st.none(), st.integers(-30, 200))
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "item string, layer string, start_ms bigint, end_ms bigint")
 
 
-@settings(max_examples=25, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from(["x", None]), time, time), max_size=30), st.sampled_from([1, 10, 37, 600_000]))
-def test_periods_against_brute_force(spark, rows, block):
-    df = spark.createDataFrame(rows, "item string, layer string, start_ms bigint, end_ms bigint")
-    got = periods.periods_and_gaps(df, block)
-    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+@pytest.mark.parametrize("block, parts, batch", [(1, 4, 10_000), (37, 16, 3), (600_000, 4, 7)])
+def test_periods_against_brute_force(spark, block, parts, batch):
+    rng = random.Random(block)
+    time = lambda: rng.choice([None, *[rng.randint(-30, 200) for _ in range(9)]])
+    rows = [(rng.choice([f"a{k}", f"b{k}", None]), rng.choice(["x", None]), time(), time()) for k in range(200) for _ in range(rng.randint(0, 30))]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        assert sorted(map(tuple, periods.periods_and_gaps(frame(spark, rows), block).collect()), key=repr) == brute(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
-def test_a_hot_item_is_spread_over_blocks(spark):
+def test_a_hot_item_is_spread_over_nodes(spark):
     rows = [("hot", "x", i * 1000, i * 1000 + (1500 if i % 10 else 500)) for i in range(3000)] * 2
-    df = spark.createDataFrame(rows, "item string, layer string, start_ms bigint, end_ms bigint")
-    assert sorted(map(tuple, periods.periods_and_gaps(df, 60_000).collect()), key=repr) == brute(rows)
+    long = [*rows, ("hot", "x", 900_000, 2_400_000), ("hot", "x", -5, 0), ("zz", None, 1, 2)]  # one that reaches over nodes
+    for part in (rows, long):
+        assert sorted(map(tuple, periods.periods_and_gaps(frame(spark, part), 60_000).collect()), key=repr) == brute(part)
+
+
+def test_no_intervals_no_periods(spark):
+    assert periods.periods_and_gaps(frame(spark, [])).count() == 0
+    assert periods.periods_and_gaps(frame(spark, [("a", "x", 5, 5), (None, "x", 1, 2), ("a", "x", None, 2)])).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-30, 60), st.integers(1, 40)), max_size=40))
+def test_merging_is_the_same_in_any_order(rows):
+    rows = [(str(g), "x", s, s + n) for g, s, n in rows]
+    one = lambda part: periods.merged(*(np.array([int(r[i]) for r in part], np.int64) for i in (0, 2, 3)))
+    a, b = one(rows[::2]), one(rows[1::2])
+    both = periods.merged(*(np.concatenate(x) for x in zip(a, b)))
+    want = sorted(r for r in brute(rows) if r[2] == "period")
+    assert sorted((str(g), "x", "period", s, e) for g, s, e in zip(*(c.tolist() for c in both))) == want

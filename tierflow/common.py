@@ -13,6 +13,7 @@ Fixed readings used by every operator:
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import unicodedata
 import uuid
@@ -92,19 +93,38 @@ def is_missing(norm: Column) -> Column:
     return norm.isNull() | norm.isin(*MISSING)
 
 
+def picked(*paths: str) -> list[Column]:
+    """Columns of dotted paths, fields of one struct in a struct of their own, so that a scan reads nothing else.
+
+    picked("a", "m.x", "m.i.y") gives a and m: struct<x, i: struct<y>>."""
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        *above, last = path.split(".")
+        for name in above:
+            node = node.setdefault(name, {})
+        node[last] = path
+
+    def built(name: str, node) -> Column:
+        return (F.col(node) if isinstance(node, str) else F.struct(*[built(n, x) for n, x in node.items()])).alias(name)
+
+    return [built(name, node) for name, node in tree.items()]
+
+
 def current(
     df: DataFrame,
     key: Sequence[str] = ("instance_id",),
     order: str = "ingested_at",
     payload: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per key: the latest by ``order``; ties are broken by a hash of the row.
-
-    The row_number filter is planned as a WindowGroupLimit before the exchange,
-    so that at most one row per key and map task is shuffled, however many
-    copies one key has. NULL keys are dropped; a NULL order value is the oldest.
-    """
-    cols = list(payload if payload is not None else [c for c in df.columns if c not in (*key, order)])
+    """One row per key: the latest by ``order``; ties are broken by a hash of the payload.
+
+    ``payload``: dotted paths of what is needed besides key and order (default: all
+    columns); only these are read, shuffled and hashed. The row_number filter is
+    planned as a WindowGroupLimit before the exchange, so that at most one row per
+    key and map task is shuffled, however many copies one key has. NULL keys are
+    dropped; a NULL order value is the oldest."""
+    cols = picked(*(payload if payload is not None else [f"`{c}`" if "." in c else c for c in df.columns if c not in (*key, order)]))
     for k in key:
         df = df.where(F.col(k).isNotNull())
     ranked = Window.partitionBy(*key).orderBy(F.col(order).desc_nulls_last(), F.col("_tie"))
@@ -117,29 +137,46 @@ def current(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a fresh local one only if unset (tests)."""
+    """The shared folder of spark.checkpoint.dir. Only where the master is this machine alone a fresh folder stands in."""
     sc = spark.sparkContext
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf:
         return conf
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tierflow-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+#: Tables written by cut() and not yet removed.
+_TABLES: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` once as a table in the shared checkpoint folder and reads that.
 
-    Lineage ends there, so a lost executor costs no recomputation before it. The
-    table is removed when the application's file systems are closed."""
+    Lineage ends there, so a lost executor costs no recomputation before it. The table
+    is removed by discard_tables() or when the application's file systems are closed."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/tierflow-{uuid.uuid4().hex}"
     df.write.parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    _TABLES.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_tables(spark: SparkSession) -> int:
+    """Removes the tables of cut(), once the results that read them are written out; returns how many."""
+    for path in _TABLES:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    n = len(_TABLES)
+    _TABLES.clear()
+    return n
+
+
 #: Most rows that small() lets through to a broadcast.
 SMALL_ROWS = 100_000
 

@@ -124,11 +124,6 @@ def child_rows(recs: DataFrame, kind: str) -> DataFrame:
     return child_arrays(recs).select("instance_id", F.inline_outer(f"_{kind}")).where("child is not null")
 
 
-def children(recs: DataFrame) -> DataFrame:
-    """child_rows of all tables."""
-    return functools.reduce(DataFrame.unionByName, [child_rows(recs, k) for k in COLUMNS])
-
-
 def child_positions(recs: DataFrame) -> DataFrame:
     """instance_id, child, parent_pos, pos of every child row of every record.
 

@@ -32,8 +32,8 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiers = table(spark, sf_dir, "tier_intervals").select(
         F.col("file_id").alias("item"), F.col("tier").alias("layer"), ms("start_t").alias("start_ms"), ms("end_t").alias("end_ms")
     )
-    spoken = current(table(spark, sf_dir, "utterances").select("instance_id", "ingested_at", "metadata.filled_pauses"))
-    pauses = spoken.select("instance_id", F.explode("filled_pauses").alias("p")).select(
+    spoken = current(table(spark, sf_dir, "utterances"), payload=["metadata.filled_pauses"])
+    pauses = spoken.select("instance_id", F.explode("metadata.filled_pauses").alias("p")).select(
         F.col("instance_id").alias("item"), F.lit("filled_pauses").alias("layer"),
         ms("p.time_s").alias("start_ms"), ms("p.time_e").alias("end_ms"),
     )
