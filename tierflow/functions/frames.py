@@ -20,14 +20,38 @@ def indices(n: Column | str) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
 
 
+def covered(spans: Column, n: Column) -> Column:
+    """0/1 frames of [first, past) spans in any order; linear in the number of frames.
+
+    The spans are taken by their start; each appends the free frames up to it and its own."""
+    runs_ = "array<array<int>>"
+    state = F.struct(F.lit(0).alias("at"), F.array().cast(runs_).alias("runs"))
+
+    def append(s: Column, x: Column) -> Column:
+        a, z = F.greatest(x["first"], s["at"]), F.least(x["past"], n)
+        more = F.concat(s["runs"], F.array(F.array_repeat(F.lit(0), a - s["at"]), F.array_repeat(F.lit(1), z - a)))
+        return F.when(z > a, F.struct(z.alias("at"), more.alias("runs"))).otherwise(s).cast(f"struct<at:int,runs:{runs_}>")
+
+    finish = lambda s: F.concat(F.flatten(s["runs"]), F.array_repeat(F.lit(0), F.greatest(n - s["at"], F.lit(0))))
+    return F.aggregate(F.array_sort(spans), state.cast(f"struct<at:int,runs:{runs_}>"), append, finish)
+
+
+def _rasterised(intervals: Column, n: Column, first, past, counts) -> Column:
+    """0/1 frames; ``first`` and ``past`` of an interval are frame numbers (any number, NULLs don't count)."""
+    def clipped(t):
+        return F.least(F.greatest(t, F.lit(0.0)), n.cast("double")).cast("int")
+
+    spans = F.transform(intervals, lambda f: F.when(counts(f), F.struct(clipped(first(f).cast("double")).alias("first"), clipped(past(f).cast("double")).alias("past"))))
+    return F.when(intervals.isNotNull() & n.isNotNull(), covered(F.filter(spans, lambda s: s["past"] > s["first"]), n))
+
+
 def rasterise_rounded(intervals: Column | str, duration, rate, start: str = "time_s", end: str = "time_e", offset=0.0) -> Column:
     """0/1 frames: an interval covers [round(start x rate), round(end x rate)), halves to even.
 
-    Frames: round(duration x rate). NULL intervals or duration give NULL."""
+    Frames: round(duration x rate). NULL intervals or duration give NULL; intervals without a bound cover nothing."""
     n = F.rint(col(duration) * col(rate)).cast("int")
     edge = lambda t: F.rint((t - col(offset)) * col(rate))
-    covered = lambda t: F.exists(col(intervals), lambda f: (t >= edge(f[start])) & (t < edge(f[end])))
-    return F.when(col(intervals).isNotNull() & n.isNotNull(), F.transform(indices(n), lambda t: F.coalesce(covered(t), F.lit(False)).cast("int")))
+    return _rasterised(col(intervals), n, lambda f: edge(f[start]), lambda f: edge(f[end]), lambda f: f[start].isNotNull() & f[end].isNotNull())
 
 
 def rasterise_touched(intervals: Column | str, duration, rate, start: str = "time_s", end: str = "time_e") -> Column:
@@ -35,11 +59,7 @@ def rasterise_touched(intervals: Column | str, duration, rate, start: str = "tim
 
     Frames: floor(duration x rate). Intervals that don't end after their start don't count."""
     n = F.floor(col(duration) * col(rate)).cast("int")
-    covered = lambda t: F.exists(
-        col(intervals),
-        lambda f: (f[end] > f[start]) & (t >= F.floor(f[start] * col(rate))) & (t < F.ceil(f[end] * col(rate))),
-    )
-    return F.when(col(intervals).isNotNull() & n.isNotNull(), F.transform(indices(n), lambda t: F.coalesce(covered(t), F.lit(False)).cast("int")))
+    return _rasterised(col(intervals), n, lambda f: F.floor(f[start] * col(rate)), lambda f: F.ceil(f[end] * col(rate)), lambda f: f[end] > f[start])
 
 
 def window_around(events: Column | str, duration, context, start: str = "time_s", end: str = "time_e") -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.common import small
+from tierflow.common import before_in_order, small
 
 BLOCK_MS = 60_000
 
@@ -58,9 +58,26 @@ def overlap_pairs(left: DataFrame, right: DataFrame, keys: list[str], tolerance:
 
 
 def overlap_counts(left: DataFrame, right: DataFrame, keys: list[str], item: list[str], tolerance: int = 1) -> DataFrame:
-    """``left`` with n (overlapping rows of right) and flag (0 or 1)."""
-    found = overlap_pairs(left.select(*dict.fromkeys([*keys, *item, "start_ms", "end_ms"])), right, keys, tolerance)
-    counts = found.groupBy(*item).agg(F.count(F.lit(1)).alias("n"))
+    """``left`` with n (overlapping rows of right) and flag (0 or 1).
+
+    No pair is made: of the rows of right that begin by an interval's end, those that
+    ended before its start are taken off. Both numbers are sums over the times in
+    order, by ranges, so a recording of any size is spread."""
+    ok = "start_ms is not null and end_ms is not null and end_ms >= start_ms"
+    known = " and ".join(f"`{k}` is not null" for k in keys)
+    a = left.where(ok).where(known).select(*dict.fromkeys([*keys, *item, "start_ms", "end_ms"]))
+    b = right.where(ok).where(known).select(*keys, "start_ms", "end_ms")
+    who = F.struct(*item)
+    none = F.lit(None).cast(a.select(who.alias("w")).schema["w"].dataType)
+    place = lambda sign, t, late, w, one: F.struct(F.lit(sign).alias("_sign"), t.alias("_t"), F.lit(late).alias("_late"), w.alias("_who"), F.lit(one).cast("bigint").alias("_one"))
+    # an own place follows what begins at its time, and precedes what ends there
+    asked = a.select(*keys, F.inline(F.array(place(1, F.col("end_ms") + tolerance, 1, who, 0), place(-1, F.col("start_ms") - tolerance, 0, who, 0))))
+    given = b.select(*keys, F.inline(F.array(place(1, F.col("start_ms"), 0, none, 1), place(-1, F.col("end_ms"), 1, none, 1))))
+    line = before_in_order(asked.unionByName(given), ["_sign", *keys, "_t", "_late"], "_one", "_n")
+    # all ends come before all begins in that order, and what other keys hold is the same in both
+    total = b.agg(F.count(F.lit(1)).alias("_all"))
+    per = line.where("_who is not null").groupBy("_who").agg(F.sum(F.col("_sign") * F.col("_n")).alias("_d"))
+    counts = per.crossJoin(F.broadcast(total)).select("_who.*", (F.col("_d") - F.col("_all")).alias("n"))  # one row
     return left.join(counts, item, "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("flag", (F.col("n") > 0).cast("int"))
 
 
@@ -108,6 +125,36 @@ def resolve(records: DataFrame, index: DataFrame, key: str, preference: list[str
     return records.join(small(first), key)
 
 
+def resolve_chain(records: DataFrame, index: DataFrame, tries: list[tuple[Column, str]], preference: list[str]) -> DataFrame:
+    """Records with path and found_by of the first try that is in the index; unresolved rows have NULLs.
+
+    ``tries``: (key of a record, column of the index), in order: its stem, an explicit
+    path, a base name. Of several paths of one key the first by ``preference`` wins.
+    All tries are looked up in one join: the keys are rows, the earliest hit is kept."""
+    of = lambda n, key: F.struct(F.lit(n).alias("_try"), key.cast("string").alias("_key"))
+    listed = index.select(F.struct(*preference, F.col("path").alias("_path")).alias("_p"), F.inline(F.array(*[of(i, F.col(c)) for i, (_, c) in enumerate(tries)])))
+    first = listed.where("_key is not null").groupBy("_try", "_key").agg(F.min("_p")["_path"].alias("path"))
+    marked = records.withColumn("_row", F.struct(*records.columns))
+    asked = marked.select("_row", F.inline(F.array(*[of(i, k) for i, (k, _) in enumerate(tries)]))).distinct()
+    hits = asked.join(small(first), ["_try", "_key"]).groupBy("_row").agg(F.min_by(F.struct("path", "_try"), "_try").alias("_hit"))
+    names = F.array(*[F.lit(c) for _, c in tries])
+    return marked.join(hits, "_row", "left").select(*records.columns, F.col("_hit.path").alias("path"), F.get(names, F.col("_hit._try")).alias("found_by"))
+
+
+def first_existing(records: DataFrame, candidates: Column, files: DataFrame, item: list[str]) -> DataFrame:
+    """Records with path: the first of an array of candidate paths that is among ``files`` (path); NULL if none is."""
+    asked = records.select(*item, F.posexplode(candidates).alias("_pos", "path"))
+    there = asked.join(files.select("path").distinct(), "path").groupBy(*item).agg(F.min_by("path", "_pos").alias("path"))
+    return records.join(there, item, "left")
+
+
+def manifest(df: DataFrame, look_ups: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """``df`` left-joined to look-ups (table, key here, key there) one after the other; of a repeated key one row counts."""
+    for other, here, there in look_ups:
+        df = df.join(small(other.where(F.col(there).isNotNull()).dropDuplicates([there])), F.col(here) == F.col(there), "left")
+    return df
+
+
 def collisions(index: DataFrame, key: str) -> DataFrame:
     """Keys with several paths, and how many."""
     return index.groupBy(key).agg(F.count_distinct("path").alias("n_paths")).where("n_paths > 1")
@@ -137,3 +184,17 @@ def split_conflicts(a: DataFrame, b: DataFrame, key: str = "file_id") -> DataFra
     left = a.groupBy(key).agg(F.min("split").alias("split_a"))
     right = b.groupBy(key).agg(F.min("split").alias("split_b"))
     return left.join(right, key).where("split_a <> split_b")
+
+
+def not_in(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """The distinct values of a column that another table lacks: missing categories, unknown labels."""
+    return a.where(F.col(key).isNotNull()).select(key).distinct().join(b.select(key), key, "left_anti")
+
+
+def shared_and_all(df: DataFrame, key: str, group: str) -> DataFrame:
+    """shared_between with n_either (keys of one group or the other) and share."""
+    sizes = df.where(F.col(key).isNotNull() & F.col(group).isNotNull()).groupBy(group).agg(F.count_distinct(key).alias("_k"))
+    side = lambda g: sizes.select(F.col(group).alias(g), F.col("_k").alias(f"_{g}"))
+    both = shared_between(df, key, group).join(side("group_a"), "group_a").join(side("group_b"), "group_b")
+    either = F.col("_group_a") + F.col("_group_b") - F.col("n")
+    return both.select("group_a", "group_b", "n", either.alias("n_either"), (F.col("n") / either).alias("share"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.common import before_in_order
+from tierflow.common import before_in_order, cut
 from tierflow.functions.frames import unmasked
 
 
@@ -58,29 +61,121 @@ def frame_metrics(conf: DataFrame, positive) -> DataFrame:
     return classification_metrics(conf).crossJoin(F.broadcast(f1))  # one row each
 
 
-def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """One row: rho, average ranks for ties; NULL if either side is constant.
+def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    """The distinct pairs of two numbers with their counts, as a table that is read several times."""
+    return cut(df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias("n")))
+
 
-    Ranks are worked out on the distinct values and their counts, by ranges of
-    values, so that no task sorts all of them."""
-    both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("_n"))
+def _rho(pairs: DataFrame) -> DataFrame:
+    """One row: rho, n. Ranks are worked out on the distinct values and their counts, by
+    ranges of values, so that no task sorts all of them."""
 
     def ranks(c: str, name: str) -> DataFrame:
-        per = before_in_order(both.groupBy(c).agg(F.sum("_n").alias("_k")), [c], "_k", "_before")
+        per = before_in_order(pairs.groupBy(c).agg(F.sum("n").alias("_k")), [c], "_k", "_before")
         return per.select(c, (F.col("_before") + (F.col("_k") + 1) / 2).alias(name))
 
-    r = both.join(ranks(a, "_ra"), a).join(ranks(b, "_rb"), b)
-    n, sa, sb = F.sum("_n"), F.sum(F.col("_n") * F.col("_ra")), F.sum(F.col("_n") * F.col("_rb"))
-    cov = F.sum(F.col("_n") * F.col("_ra") * F.col("_rb")) - sa * sb / n
-    va = F.sum(F.col("_n") * F.col("_ra") * F.col("_ra")) - sa * sa / n
-    vb = F.sum(F.col("_n") * F.col("_rb") * F.col("_rb")) - sb * sb / n
-    return r.agg((cov / F.sqrt(F.nullif(va, F.lit(0.0)) * F.nullif(vb, F.lit(0.0)))).alias("rho"))
+    r = pairs.join(ranks("a", "_ra"), "a").join(ranks("b", "_rb"), "b")
+    n, sa, sb = F.sum("n"), F.sum(F.col("n") * F.col("_ra")), F.sum(F.col("n") * F.col("_rb"))
+    cov = F.sum(F.col("n") * F.col("_ra") * F.col("_rb")) - sa * sb / n
+    va = F.sum(F.col("n") * F.col("_ra") * F.col("_ra")) - sa * sa / n
+    vb = F.sum(F.col("n") * F.col("_rb") * F.col("_rb")) - sb * sb / n
+    return r.agg((cov / F.sqrt(F.nullif(va, F.lit(0.0)) * F.nullif(vb, F.lit(0.0)))).alias("rho"), n.alias("n"))
+
+
+def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
+    """One row: rho, average ranks for ties; NULL if either side is constant."""
+    return _rho(_pairs(df, a, b)).select("rho")
+
+
+def p_value(rho: Column, n: Column) -> Column:
+    """Two-sided p of a rank correlation by Student's t with n - 2 degrees of freedom; NULL for n < 3.
+
+    The t distribution is the regularised incomplete beta function, worked out on
+    one row by its continued fraction (a Python call; there is no built-in one)."""
+
+    @F.pandas_udf("double")
+    def tail(r: pd.Series, k: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(x) or pd.isna(m) or m < 3 else t_tail(float(x), int(m)) for x, m in zip(r, k)])
+
+    return tail(rho, n)
+
+
+def t_tail(rho: float, n: int) -> float:
+    free = n - 2
+    if abs(rho) >= 1:
+        return 0.0
+    # P(|T| > t) = I_x(free / 2, 1 / 2) with x = free / (free + t^2) = 1 - rho^2
+    return beta_share(1 - rho * rho, free / 2, 0.5)
+
+
+def beta_share(x: float, a: float, b: float) -> float:
+    """Regularised incomplete beta function, by Lentz's continued fraction."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - beta_share(1 - x, b, a)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny = 1e-300
+    c, d = 1.0, 1 / ((1 - (a + b) * x / (a + 1)) or tiny)
+    out = d
+    for m in range(1, 10_000):
+        for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 / ((1 + top * d) or tiny)
+            c = (1 + top / c) or tiny
+            out *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    return front * out
+
+
+def regression_metrics(df: DataFrame, gold: str, pred: str, mean: float = 0.0, std: float = 1.0) -> DataFrame:
+    """One row: mse, mae in the label's own unit (``mean`` and ``std`` undo a normalisation), rho and its p_value."""
+    pairs = _pairs(df, gold, pred)
+    d = (F.col("b") - F.col("a")) * F.lit(float(std if std >= 1e-8 else 1.0))
+    n = F.sum("n")
+    errors = pairs.agg((F.sum(d * d * F.col("n")) / n).alias("mse"), (F.sum(F.abs(d) * F.col("n")) / n).alias("mae"))
+    rho = _rho(pairs).select("rho", p_value(F.col("rho"), F.col("n")).alias("p_value"))
+    return errors.crossJoin(F.broadcast(rho))  # one row each
+
+
+def predictions(df: DataFrame, gold: str, pred: str, order: list[str] | None = None, scale: tuple[float, float] | None = None) -> DataFrame:
+    """What is exported of a model's predictions: ids, bounds, gold_label, pred_label and the raw values.
+
+    Class numbers become names by ``order``; numbers are put back into the label's
+    unit by ``scale`` (mean, std). Columns the input lacks are NULL."""
+    have = lambda c, kind: (F.col(c) if c in df.columns else F.lit(None).cast(kind)).alias(c)
+    if order is not None:
+        names = F.array(*[F.lit(x) for x in order])
+        named = lambda c: F.get(names, F.col(c).cast("int"))
+    elif scale is not None:
+        mean, std = scale
+        named = lambda c: F.col(c) * F.lit(float(std if std >= 1e-8 else 1.0)) + F.lit(float(mean))
+    else:
+        named = F.col
+    return df.select(
+        have("instance_id", "string"), have("file_id", "string"), have("start_t", "double"), have("end_t", "double"),
+        named(gold).alias("gold_label"), named(pred).alias("pred_label"), F.col(gold).alias("gold_raw"), F.col(pred).alias("pred_raw"),
+    )
+
+
+def frame_predictions(df: DataFrame, gold: str, pred: str, probs: str | None = None) -> DataFrame:
+    """Exported frames: n_frames, gold and pred without the masked frames, both raw, and the positive class's probabilities."""
+    kept = unmasked(gold, pred)
+    return df.select(
+        "instance_id", "file_id", F.size(kept).alias("n_frames"), F.transform(kept, lambda x: x["gold"]).alias("gold"),
+        F.transform(kept, lambda x: x["pred"]).alias("pred"), F.col(gold).alias("gold_raw"), F.col(pred).alias("pred_raw"),
+        (F.col(probs) if probs else F.lit(None).cast("array<double>")).alias("prob_pos"),
+    )
 
 
-def regression_metrics(df: DataFrame, gold: str, pred: str) -> DataFrame:
-    """One row: mse, mae, rho."""
-    d = F.col(pred) - F.col(gold)
-    return df.agg(F.avg(d * d).alias("mse"), F.avg(F.abs(d)).alias("mae")).crossJoin(F.broadcast(spearman(df, gold, pred)))  # one row each
+def report_with_averages(conf: DataFrame) -> DataFrame:
+    """class_report with the rows 'macro avg' (each class counts once) and 'weighted avg' (by support)."""
+    per = class_report(conf)
+    names = ("precision", "recall", "f1")
+    macro = per.agg(*[F.avg(c).alias(c) for c in names], F.sum("support").alias("support"))
+    weighted = per.agg(*[(F.sum(F.col(c) * F.col("support")) / F.nullif(F.sum("support"), F.lit(0))).alias(c) for c in names], F.sum("support").alias("support"))
+    named = lambda d, n: d.select(F.lit(n).alias("label"), *names, "support")
+    return per.select(F.col("label").cast("string").alias("label"), *names, "support").unionByName(named(macro, "macro avg")).unionByName(named(weighted, "weighted avg"))
 
 
 def best_epoch(df: DataFrame, run: str, epoch: str, metric: str, lower_is_better: bool = False) -> DataFrame:

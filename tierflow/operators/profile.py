@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.common import with_totals
+from tierflow.common import before_in_order, with_totals
 
 
 def value_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -26,25 +26,44 @@ def hours(df: DataFrame, key: str, seconds: Column) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), (F.sum(seconds) / 3600).alias("hours"))
 
 
+def _at_shares(df: DataFrame, keys: list[str], value: Column, shares: list[float]) -> DataFrame:
+    """keys, n, lo, hi and q (array): exact quantiles with linear interpolation of the values that aren't NULL.
+
+    Values are counted first, then placed by running counts over ranges of values: no
+    task holds the values of a group."""
+    counted = df.select(F.struct(*keys).alias("_g"), value.cast("double").alias("_v")).groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    line = before_in_order(counted.where("_v is not null"), ["_g", "_v"], "_k", "_before")
+    sums = line.groupBy("_g").agg(F.min("_before").alias("_off"), F.sum("_k").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    first = F.col("_before") - F.col("_off")
+    at = lambda i: F.max(F.when((first <= i) & (i < first + F.col("_k")), F.col("_v")))
+
+    def quantile(share: float) -> Column:
+        place = F.lit(share) * (F.col("_n") - 1)
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        return low + (high - low) * F.max(place - F.floor(place))
+
+    found = line.join(sums, "_g").groupBy("_g").agg(
+        F.max("_n").alias("n"), F.max("_lo").alias("lo"), F.max("_hi").alias("hi"), F.array(*[quantile(s) for s in shares]).alias("q")
+    )
+    every = df.select(F.struct(*keys).alias("_g")).distinct()  # groups of NULLs alone, too
+    return every.join(found, "_g", "left").select("_g.*", F.coalesce("n", F.lit(0)).alias("n"), "lo", "hi", "q")
+
+
 def quantiles(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
     """min, p50, p90, p99, max: exact, with linear interpolation."""
-    p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
-    return (
-        df.groupBy(*keys).agg(F.count(value).alias("n"), F.min(value).alias("min"), p.alias("_p"), F.max(value).alias("max"))
-        .select(*keys, "n", "min", F.col("_p")[0].alias("p50"), F.col("_p")[1].alias("p90"), F.col("_p")[2].alias("p99"), "max")
-    )
+    q = F.col("q")
+    return _at_shares(df, keys, value, [0.5, 0.9, 0.99]).select(
+        *keys, "n", F.col("lo").alias("min"), q[0].alias("p50"), q[1].alias("p90"), q[2].alias("p99"), F.col("hi").alias("max")
+    )
 
 
 def box_stats(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
-    """Quartiles and the whiskers at 1.5 times their distance, within the data."""
-    base = df.where(value.isNotNull()).groupBy(*keys).agg(
-        F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"), F.min(value).alias("_lo"), F.max(value).alias("_hi")
-    )
-    q = F.col("_q")
+    """Quartiles and the whiskers at 1.5 times their distance, within the data; groups without values drop out."""
+    q = F.col("q")
     reach = (q[2] - q[0]) * 1.5
-    return base.select(
+    return _at_shares(df.where(value.isNotNull()), keys, value, [0.25, 0.5, 0.75]).select(
         *keys, q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
-        F.greatest(q[0] - reach, F.col("_lo")).alias("low"), F.least(q[2] + reach, F.col("_hi")).alias("high"),
+        F.greatest(q[0] - reach, F.col("lo")).alias("low"), F.least(q[2] + reach, F.col("hi")).alias("high"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierflow.functions import frames as fr
 from tierflow.functions import ids
 from tierflow.functions.values import word_text
+from tierflow.operators.periods import periods_and_gaps
 
 
 def pool(*tables: DataFrame) -> DataFrame:
@@ -106,8 +107,18 @@ def window_records(df: DataFrame, pauses: Column, duration: Column, context: flo
 
 
 def file_frames(files: DataFrame, spans: DataFrame, key: str = "file_id", rate: int = 50) -> DataFrame:
-    """One frame record per file: any overlap of any speaker's span counts; no spans give zeros, no duration no row."""
-    per = spans.groupBy(key).agg(F.collect_list(F.struct(F.col("start_t").alias("time_s"), F.col("end_t").alias("time_e"))).alias("_spans"))
+    """One frame record per file: any overlap of any speaker's span counts; no spans give zeros, no duration no row.
+
+    Spans are put in frames and merged first, so that what meets in a file's row is
+    no longer than its frames, however many spans it has."""
+    touched = spans.where("end_t > start_t").select(
+        F.col(key).alias("item"), F.lit("frames").alias("layer"),
+        F.floor(F.col("start_t") * rate).alias("start_ms"), F.ceil(F.col("end_t") * rate).alias("end_ms"),
+    )
+    merged = periods_and_gaps(touched).where("kind = 'period'")
+    last = F.lit((1 << 31) - 1)
+    place = lambda c: F.least(F.greatest(F.col(c), F.lit(0)), last).cast("int")
+    per = merged.groupBy(F.col("item").alias(key)).agg(F.collect_list(F.struct(place("start_ms").alias("first"), place("end_ms").alias("past"))).alias("_spans"))
     joined = files.join(per, key, "left").where("duration is not null")
-    every = F.coalesce("_spans", F.array().cast("array<struct<time_s:double,time_e:double>>"))
-    return joined.withColumn("frames", fr.rasterise_touched(every, "duration", rate)).drop("_spans")
+    every = F.coalesce("_spans", F.array().cast("array<struct<first:int,past:int>>"))
+    return joined.withColumn("frames", fr.covered(every, F.floor(F.col("duration") * rate).cast("int"))).drop("_spans")

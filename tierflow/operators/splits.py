@@ -84,20 +84,23 @@ def speaker_disjoint(df: DataFrame, speaker: str = "speaker", ratios=(0.8, 0.1,
     return one.mapInArrow(run, f"`{speaker}` {kind}, n bigint, split string")
 
 
+def _number(seed: str, item: Column | str) -> Column:
+    """draw as a BIGINT in the same order (its first 60 bits)."""
+    return F.conv(F.substring(draw(seed, item), 1, 15), 16, 10).cast("bigint") * 8 - F.lit((1 << 63) - 1) - 1
+
+
 def _ranked(df: DataFrame, group: list[str], item: str, seed: str) -> DataFrame:
-    return bucketed_rank(df.withColumn("_draw", F.xxhash64(F.lit(seed), item)), group, "_draw", "_rank").drop("_draw")
+    return bucketed_rank(df.withColumn("_draw", _number(seed, item)), group, "_draw", "_rank").drop("_draw")
 
 
 def balance_classes(df: DataFrame, label: Column, item: str = "instance_id", seed: str = SEED) -> DataFrame:
     """As many rows of each class as the smallest has; rows without a class are dropped,
     and without any class the input comes back. The drawn rows have the least MD5 of seed::id."""
     marked = df.withColumn("_class", label)
-    counts = marked.where("_class is not null").groupBy("_class").agg(F.count(F.lit(1)).alias("_n"))
-    least = counts.agg(F.min("_n").alias("_least"))
-    keyed = marked.where("_class is not null").withColumn("_draw", F.conv(F.substring(draw(seed, item), 1, 15), 16, 10).cast("bigint") * 8 - F.lit((1 << 63) - 1) - 1)
-    drawn = bucketed_rank(keyed, ["_class"], "_draw", "_rank").crossJoin(F.broadcast(least)).where("_rank <= _least").drop("_draw", "_rank", "_least", "_class")
-    none = marked.crossJoin(F.broadcast(least)).where("_least is null").drop("_class", "_least")
-    return drawn.unionByName(none)
+    counts = marked.groupBy("_class").agg(F.count(F.lit(1)).alias("_n"))
+    least = counts.agg(F.min(F.when(F.col("_class").isNotNull(), F.col("_n"))).alias("_least"))
+    ranked = _ranked(marked, ["_class"], item, seed).crossJoin(F.broadcast(least))  # one row
+    return ranked.where("_least is null or (_class is not null and _rank <= _least)").drop("_rank", "_least", "_class")
 
 
 def balance_train(df: DataFrame, labels: list[Column], item: str = "instance_id", seed: str = SEED) -> DataFrame:

@@ -46,8 +46,9 @@ def group_key(group: str, item: str) -> str:
     return f"'speech-ml-pipeline::' || coalesce(nullif(CAST({group} AS VARCHAR), ''), CAST({item} AS VARCHAR), '')"
 
 
-def cur(spark: SparkSession, d: str) -> DataFrame:
-    return current(table(spark, d, "utterances"))
+def cur(spark: SparkSession, d: str, *paths: str) -> DataFrame:
+    """Current utterances: instance_id, ingested_at and the named columns, nothing else is read."""
+    return current(table(spark, d, "utterances"), payload=paths)
 
 
 # --- splits -------------------------------------------------------------------
@@ -80,71 +81,59 @@ SELECT v.split, CAST(count(s.split) AS BIGINT) AS n FROM (VALUES ('train'), ('de
 )
 def split_summary_kept(spark, d):
     """Valid splits stay, others are assigned by recording; counts with zeros."""
-    return splits.split_summary(splits.assign_splits(cur(spark, d), "file_id"))
+    return splits.split_summary(splits.assign_splits(cur(spark, d, "split", "file_id"), "file_id"))
 
 
 @query(f"WITH {CUR} SELECT speaker, count(DISTINCT split) AS n_splits FROM cur WHERE speaker IS NOT NULL GROUP BY speaker HAVING count(DISTINCT split) > 1")
 def split_leaks(spark, d):
     """Speakers in more than one split."""
-    return splits.leaks(cur(spark, d), "speaker")
+    return splits.leaks(cur(spark, d, "speaker", "split"), "speaker")
 
 
 @query(
     f"""WITH {CUR},
-by_file AS (SELECT file_id, min(split) AS s FROM frame_records WHERE split IN ('train','dev','test') AND instance_id < 'm' GROUP BY file_id),
+by_file AS (SELECT file_id, min(split) AS s FROM frame_records WHERE split IN ('train','dev','test') GROUP BY file_id),
 by_stem AS (SELECT instance_id AS wav_stem, min(split) AS s FROM frame_records WHERE split IN ('train','dev','test') GROUP BY 1)
 SELECT instance_id, coalesce(f.s, w.s, {split_sql(group_key('cur.file_id', 'instance_id'))}) AS split
 FROM cur LEFT JOIN by_file f ON f.file_id = cur.file_id LEFT JOIN by_stem w ON w.wav_stem = regexp_replace(regexp_extract(audio_path, '[^/]*$'), '(.)\\.[^.]*$', '\\1')"""
 )
 def split_override(spark, d):
     """Splits of a look-up by file, else by audio stem, else by hash."""
-    return _override(spark, d, "instance_id < 'm'")
-
-
-@query()
-def split_override_all(spark, d):
-    """split_override with all files of the look-up."""
-    return _override(spark, d, "true")
-
-
-def _override(spark, d, looked_up):
     f = table(spark, d, "frame_records").where(F.col("split").isin("train", "dev", "test"))
-    u = cur(spark, d).select("instance_id", "file_id", "audio_path")
-    by_file = f.where(looked_up).select("file_id", "split")
+    u = cur(spark, d, "file_id", "audio_path")
     by_stem = f.select(F.col("instance_id").alias("wav_stem"), "split")
     fallback = splits.hash_split(F.col("file_id"), F.col("instance_id"))
-    return splits.override_split(u, by_file, by_stem, ids.stem("audio_path"), fallback).select("instance_id", "split")
+    return splits.override_split(u, f.select("file_id", "split"), by_stem, ids.stem("audio_path"), fallback).select("instance_id", "split")
 
 
-@query()
+_NEXT = """CASE WHEN a / qa <= b / qb AND a / qa <= c / qc THEN 'train' WHEN b / qb <= c / qc THEN 'dev' ELSE 'test' END"""
+
+
+@query(f"""WITH RECURSIVE {CUR}, s AS (SELECT speaker, count(*) AS n FROM cur WHERE speaker IS NOT NULL GROUP BY speaker), t AS (SELECT sum(n) AS total FROM s),
+q AS (SELECT greatest(1, round_even(0.8::DOUBLE * total, 0)) AS qa, greatest(1, round_even(0.1::DOUBLE * total, 0)) AS qb, greatest(1, total - round_even(0.8::DOUBLE * total, 0) - round_even(0.1::DOUBLE * total, 0)) AS qc FROM t),
+o AS (SELECT speaker, n, row_number() OVER (ORDER BY md5('speech-ml-pipeline::' || speaker), speaker) AS i FROM s),
+r(i, a, b, c, speaker, n, split) AS (SELECT 0::BIGINT, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE, NULL::VARCHAR, 0::BIGINT, NULL::VARCHAR UNION ALL
+SELECT i, a + CASE WHEN split = 'train' THEN n ELSE 0 END, b + CASE WHEN split = 'dev' THEN n ELSE 0 END, c + CASE WHEN split = 'test' THEN n ELSE 0 END, speaker, n, split
+FROM (SELECT o.i, r.a, r.b, r.c, o.speaker, o.n, {_NEXT} AS split FROM r JOIN o ON o.i = r.i + 1, q))
+SELECT speaker, n, split FROM r WHERE speaker IS NOT NULL""")
 def split_speaker_disjoint(spark, d):
     """Shuffled speakers to the least filled split, one by one."""
-    return splits.speaker_disjoint(cur(spark, d).where("speaker is not null"))
+    return splits.speaker_disjoint(cur(spark, d, "speaker").where("speaker is not null"))
 
 
 # --- sampling -----------------------------------------------------------------
 
 
 @query(
-    f"""WITH {CUR}, t AS (SELECT instance_id, labels.sentiment_6 AS c FROM cur WHERE labels.sentiment_6 IN ('Positive','Negative','M_Positive')),
+    f"""WITH {CUR}, t AS (SELECT instance_id, labels.sentiment_6 AS c FROM cur WHERE labels.sentiment_6 IS NOT NULL),
 n AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM t GROUP BY c))
 SELECT c AS label, count(*) AS n FROM (SELECT c, row_number() OVER (PARTITION BY c ORDER BY md5('speech-ml-pipeline::' || instance_id)) AS r FROM t), n
 WHERE r <= n.n GROUP BY c"""
 )
 def balance_classes(spark, d):
     """As many rows of each class as the smallest has."""
-    return _balanced(cur(spark, d).where(F.col("labels.sentiment_6").isin("Positive", "Negative", "M_Positive")))
-
-
-@query()
-def balance_classes_all(spark, d):
-    """balance_classes of every class seen."""
-    return _balanced(cur(spark, d).where("labels.sentiment_6 is not null"))
-
-
-def _balanced(u):
-    drawn = splits.balance_classes(u.select("instance_id", F.col("labels.sentiment_6").alias("label")), F.col("label"))
-    return drawn.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    u = cur(spark, d, "labels.sentiment_6").select("instance_id", F.col("labels.sentiment_6").alias("label")).where("label is not null")
+    return splits.balance_classes(u, F.col("label")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -154,26 +143,24 @@ SELECT instance_id FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY su
 )
 def balance_members(spark, d):
     """Which rows the class balance draws."""
-    u = cur(spark, d).select("instance_id", F.col("labels.sentiment_6").alias("label"))
+    u = cur(spark, d, "labels.sentiment_6").select("instance_id", F.col("labels.sentiment_6").alias("label"))
     return splits.balance_classes(u, F.col("label")).select("instance_id")
 
 
-@query(f"WITH {CUR} SELECT split, CAST(greatest(1, round_even(count(*) * 0.37::DOUBLE, 0)) AS BIGINT) AS n FROM cur GROUP BY split")
+def _drawn(by: str) -> str:
+    return f"row_number() OVER (PARTITION BY {by} ORDER BY substr(md5('speech-ml-pipeline::' || instance_id), 1, 15), instance_id)"
+
+
+@query(f"WITH {CUR}, r AS (SELECT instance_id, split, {_drawn('split')} AS r, count(*) OVER (PARTITION BY split) AS n FROM cur) SELECT instance_id, split FROM r WHERE r <= greatest(1, round_even(n * 0.37::DOUBLE, 0))")
 def cap_fraction(spark, d):
     """Of each split a fraction of its rows."""
-    capped = splits.cap_fraction(cur(spark, d).select("instance_id", "split"), 0.37)
-    return capped.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return splits.cap_fraction(cur(spark, d, "split").select("instance_id", "split"), 0.37)
 
 
-@query(
-    f"""WITH {CUR}, r AS (SELECT dataset, count(*) AS n FROM cur GROUP BY dataset),
-x AS (SELECT dataset, unnest(range(1, n + 1)) AS k FROM r)
-SELECT dataset, count(*) AS n FROM (SELECT * FROM x ORDER BY k, dataset LIMIT 700) GROUP BY dataset"""
-)
+@query(f"WITH {CUR}, r AS (SELECT instance_id, dataset, {_drawn('dataset')} AS r FROM cur) SELECT instance_id, dataset FROM r ORDER BY r, dataset NULLS FIRST LIMIT 700")
 def cap_balanced(spark, d):
     """700 rows, the data sets in turn."""
-    drawn = splits.cap_balanced(cur(spark, d).select("instance_id", "dataset"), 700, "dataset")
-    return drawn.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
+    return splits.cap_balanced(cur(spark, d, "dataset").select("instance_id", "dataset"), 700, "dataset")
 
 
 @query(f"WITH {CUR} SELECT instance_id FROM cur ORDER BY md5('speech-ml-pipeline::' || instance_id) LIMIT 500")
@@ -182,11 +169,10 @@ def cap_plain(spark, d):
     return splits.cap_plain(cur(spark, d), 500).select("instance_id")
 
 
-@query(f"WITH {CUR} SELECT split, least(count(*), CASE split WHEN 'train' THEN 400 WHEN 'dev' THEN 90 ELSE 80 END) AS n FROM cur WHERE split IN ('train','dev','test') GROUP BY split")
+@query(f"WITH {CUR}, r AS (SELECT instance_id, split, {_drawn('split')} AS r FROM cur WHERE split IN ('train','dev','test')) SELECT instance_id, split FROM r WHERE r <= CASE split WHEN 'train' THEN 400 WHEN 'dev' THEN 90 ELSE 80 END")
 def cap_per_split(spark, d):
     """At most so many rows of each split."""
-    drawn = splits.cap_per_split(cur(spark, d).select("instance_id", "split"), {"train": 400, "dev": 90, "test": 80})
-    return drawn.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return splits.cap_per_split(cur(spark, d, "split").select("instance_id", "split"), {"train": 400, "dev": 90, "test": 80})
 
 
 _QUOTA = f"""WITH {CUR},
@@ -197,7 +183,7 @@ sel AS (SELECT * FROM g WHERE place <= 120)"""
 
 
 def _quota(spark, d):
-    u = cur(spark, d).select("instance_id", "speaker", F.col("labels.speaker_gender").alias("gender"), F.col("labels.filled_pause_count").alias("n"))
+    u = cur(spark, d, "speaker", "labels.speaker_gender", "labels.filled_pause_count").select("instance_id", "speaker", F.col("labels.speaker_gender").alias("gender"), F.col("labels.filled_pause_count").alias("n"))
     pool = u.where("n >= 1 and speaker is not null and gender in ('F', 'M')").drop("n")
     return pool, splits.select_quota(pool, "gender", "speaker", {"F": 120, "M": 120})
 
@@ -271,6 +257,17 @@ def clean_pipeline(spark, d):
     return clean.clean(u, ["ingested_at", "_tie"], F.col("labels.sentiment_6"), True)[1]
 
 
+@query(
+    """WITH u AS (SELECT *, row_number() OVER (PARTITION BY instance_id ORDER BY ingested_at, md5(CAST(split AS VARCHAR))) AS r
+  FROM utterances WHERE coalesce(split IN ('train','dev','test'), false))
+SELECT instance_id, split FROM u WHERE r = 1 AND trim(labels.sentiment_6) <> '' AND regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> ''"""
+)
+def clean_kept(spark, d):
+    """The records that cleaning leaves."""
+    u = table(spark, d, "utterances").withColumn("_tie", F.md5("split"))
+    return clean.clean(u, ["ingested_at", "_tie"], F.col("labels.sentiment_6"), True)[0].select("instance_id", "split")
+
+
 @query("""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents WHERE text IS NOT NULL) WHERE r = 1""")
 def dedup_first(spark, d):
     """The first document of each text."""
@@ -283,7 +280,7 @@ FROM (SELECT *, coalesce(metadata.audio_length, 0) AS s FROM cur) GROUP BY 1"""
 )
 def duration_reasons(spark, d):
     """Why rows fall out by length and label."""
-    out = clean.duration_filter(cur(spark, d), F.col("metadata.audio_length"), 2, 15, F.col("labels.sentiment_6"))
+    out = clean.duration_filter(cur(spark, d, "metadata.audio_length", "labels.sentiment_6"), F.col("metadata.audio_length"), 2, 15, F.col("labels.sentiment_6"))
     return out.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -291,7 +288,7 @@ def duration_reasons(spark, d):
 AND coalesce(metadata.audio_length, 0) <= 12 AND NOT (coalesce(metadata.audio_length, 0) > 0 AND coalesce(metadata.audio_length, 0) < 1)""")
 def load_split(spark, d):
     """Train rows of one label within the length bounds."""
-    rows = clean.load_split(cur(spark, d), "train", F.col("labels.dialogue_act_function"), F.col("metadata.audio_length"), 12, 1, ["inform"])
+    rows = clean.load_split(cur(spark, d, "split", "labels.dialogue_act_function", "metadata.audio_length"), "train", F.col("labels.dialogue_act_function"), F.col("metadata.audio_length"), 12, 1, ["inform"])
     return rows.select("instance_id")
 
 
@@ -328,13 +325,13 @@ def frame_length_off(spark, d):
 @query(f"WITH {CUR} SELECT dataset, count(*) AS n, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS pct FROM cur GROUP BY dataset")
 def value_counts(spark, d):
     """Rows and share of each data set."""
-    return profile.value_counts(cur(spark, d), "dataset").withColumn("pct", F.round("pct", 6))
+    return profile.value_counts(cur(spark, d, "dataset"), "dataset").withColumn("pct", F.round("pct", 6))
 
 
 @query(f"""WITH {CUR} SELECT dataset, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'dev') AS dev, count(*) FILTER (split = 'test') AS test FROM cur GROUP BY dataset""")
 def crosstab_split(spark, d):
     """Data set by split."""
-    return profile.crosstab(cur(spark, d), "dataset", "split", ["train", "dev", "test"])
+    return profile.crosstab(cur(spark, d, "dataset", "split"), "dataset", "split", ["train", "dev", "test"])
 
 
 @query(f"WITH {CUR} SELECT split, count(*) AS n, round(sum(CAST(round_even(metadata.audio_length * 1000, 0) AS BIGINT)) / 3600000.0::DOUBLE, 6) AS hours FROM cur GROUP BY split")
@@ -342,7 +339,7 @@ def hours_per_split(spark, d):
     """Hours of each split, summed in whole milliseconds."""
     from tierflow.common import ms
 
-    out = profile.hours(cur(spark, d), "split", ms("metadata.audio_length"))
+    out = profile.hours(cur(spark, d, "split", "metadata.audio_length"), "split", ms("metadata.audio_length"))
     return out.withColumn("hours", F.round(F.col("hours") / 1000, 6))
 
 
@@ -350,7 +347,7 @@ def hours_per_split(spark, d):
 round(quantile_cont(metadata.audio_length, 0.9), 6) AS p90, round(quantile_cont(metadata.audio_length, 0.99), 6) AS p99, max(metadata.audio_length) AS max FROM cur GROUP BY dataset""")
 def quantiles_by_dataset(spark, d):
     """Exact quantiles of the length."""
-    out = profile.quantiles(cur(spark, d), ["dataset"], F.col("metadata.audio_length"))
+    out = profile.quantiles(cur(spark, d, "dataset", "metadata.audio_length"), ["dataset"], F.col("metadata.audio_length"))
     return out.withColumns({c: F.round(c, 6) for c in ("p50", "p90", "p99")})
 
 
@@ -359,7 +356,7 @@ min(metadata.audio_length) AS lo, max(metadata.audio_length) AS hi FROM cur GROU
 SELECT dataset, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(greatest(q1 - 1.5::DOUBLE * (q3 - q1), lo), 6) AS low, round(least(q3 + 1.5::DOUBLE * (q3 - q1), hi), 6) AS high FROM q""")
 def box_stats(spark, d):
     """Quartiles and whiskers of the length."""
-    out = profile.box_stats(cur(spark, d), ["dataset"], F.col("metadata.audio_length"))
+    out = profile.box_stats(cur(spark, d, "dataset", "metadata.audio_length"), ["dataset"], F.col("metadata.audio_length"))
     return out.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3", "low", "high")})
 
 
@@ -373,7 +370,7 @@ def histogram_n_chars(spark, d):
 @query(f"""WITH {CUR} SELECT CASE WHEN grouping(dataset) = 1 THEN 'TOTAL' ELSE dataset END AS dataset, count(*) AS n, count(*) FILTER (metadata.audio_length > 20) AS "over" FROM cur GROUP BY ROLLUP (dataset)""")
 def records_over_cap(spark, d):
     """Records beyond a length, per data set and in all."""
-    return profile.over_cap(cur(spark, d), "dataset", F.col("metadata.audio_length"), 20)
+    return profile.over_cap(cur(spark, d, "dataset", "metadata.audio_length"), "dataset", F.col("metadata.audio_length"), 20)
 
 
 @query(f"""WITH {CUR}, c AS (SELECT labels.sentiment_6 AS label, count(*) AS n FROM cur WHERE labels.sentiment_6 IS NOT NULL GROUP BY 1),
@@ -381,7 +378,7 @@ w AS (SELECT label, n, n * 100.0::DOUBLE / sum(n) OVER () AS pct, (max(n) OVER (
 SELECT label, n, round(pct, 6) AS pct, round(ratio, 6) AS ratio, CASE WHEN ratio > 10 THEN 'ratio' WHEN pct < 5 THEN 'rare' END AS warning FROM w""")
 def imbalance_warnings(spark, d):
     """Classes far from the largest or below a share."""
-    u = cur(spark, d).select(F.col("labels.sentiment_6").alias("label"))
+    u = cur(spark, d, "labels.sentiment_6").select(F.col("labels.sentiment_6").alias("label"))
     return profile.imbalance(u, "label", 10, 5).withColumns({"pct": F.round("pct", 6), "ratio": F.round("ratio", 6)})
 
 
@@ -393,7 +390,7 @@ SELECT field, n_missing, round(n_missing * 100.0::DOUBLE / n, 6) AS pct FROM m,
 def missing_fields(spark, d):
     """NULLs of several fields in one pass."""
     fields = {"start_t": "start_t", "split": "split", "speaker": "speaker", "audio_length": "metadata.audio_length", "filled_pauses": "metadata.filled_pauses"}
-    out = profile.missing_fields(cur(spark, d), {k: F.col(v) for k, v in fields.items()})
+    out = profile.missing_fields(cur(spark, d, "start_t", "split", "speaker", "metadata.audio_length", "metadata.filled_pauses"), {k: F.col(v) for k, v in fields.items()})
     return out.withColumn("pct", F.round("pct", 6))
 
 
@@ -401,7 +398,7 @@ def missing_fields(spark, d):
 count(DISTINCT labels.sentiment_logit) AS n_distinct FROM cur WHERE labels.sentiment_logit IS NOT NULL""")
 def numeric_label(spark, d):
     """Whether a label is a number or a class."""
-    return profile.numeric_label(cur(spark, d), F.col("labels.sentiment_logit"))
+    return profile.numeric_label(cur(spark, d, "labels.sentiment_logit"), F.col("labels.sentiment_logit"))
 
 
 @query("""SELECT tier, count(DISTINCT file_id) AS files, count(*) AS intervals, count(*) FILTER (trim(coalesce(label, '')) <> '') AS annotated,
@@ -421,7 +418,7 @@ def per_file_label_counts(spark, d):
 GROUP BY 1, 2 ORDER BY total DESC, gender NULLS FIRST, speaker LIMIT 10""")
 def top_speakers_by_pauses(spark, d):
     """Gender and speaker with the most filled pauses."""
-    u = cur(spark, d).where("speaker is not null and labels.filled_pause_count is not null")
+    u = cur(spark, d, "speaker", "labels.speaker_gender", "labels.filled_pause_count").where("speaker is not null and labels.filled_pause_count is not null")
     return profile.top_by_sum(u.select(F.col("labels.speaker_gender").alias("gender"), "speaker", F.col("labels.filled_pause_count").alias("n")), ["gender", "speaker"], "n")
 
 
@@ -429,7 +426,7 @@ def top_speakers_by_pauses(spark, d):
 SELECT split, file_id, n, CAST(r AS INT) AS place FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY n DESC, file_id) AS r FROM c) WHERE r <= 5""")
 def top_files_per_split(spark, d):
     """The five largest recordings of each split."""
-    u = cur(spark, d).where(F.col("split").isin("train", "dev", "test"))
+    u = cur(spark, d, "split", "file_id").where(F.col("split").isin("train", "dev", "test"))
     return profile.top_per_group(u, "split", "file_id", 5)
 
 
@@ -443,7 +440,7 @@ def annotation_status(spark, d):
 @query(f"WITH {CUR} SELECT min(labels.speaker_age) AS min, max(labels.speaker_age) AS max, round(avg(labels.speaker_age), 6) AS mean, count(labels.speaker_age) AS n FROM cur")
 def age_range(spark, d):
     """Span and mean of the age."""
-    return profile.range_summary(cur(spark, d), F.col("labels.speaker_age")).withColumn("mean", F.round("mean", 6))
+    return profile.range_summary(cur(spark, d, "labels.speaker_age"), F.col("labels.speaker_age")).withColumn("mean", F.round("mean", 6))
 
 
 @query("""SELECT split, count(*) AS records, CAST(sum(len(list_filter(labels.filled_pause, lambda x: x = 0))) AS BIGINT) AS frames_0,
@@ -453,7 +450,8 @@ def frame_tokens(spark, d):
     return profile.frame_tokens(table(spark, d, "frame_records").distinct(), "split", F.col("labels.filled_pause"))
 
 
-@query()
+@query("""WITH l AS (SELECT CAST(raw AS JSON) -> '$.labels' AS labels FROM record_lines WHERE json_valid(raw)), k AS (SELECT labels, unnest(json_keys(labels)) AS k FROM l WHERE json_type(labels) = 'OBJECT')
+SELECT list_sort(list(DISTINCT k)) AS keys FROM k WHERE json_type(json_extract(labels, '$."' || k || '"')) <> 'ARRAY'""")
 def scalar_label_keys(spark, d):
     """Label keys of raw lines that are no lists."""
     return profile.scalar_label_keys(table(spark, d, "record_lines"))
@@ -467,7 +465,7 @@ n AS (SELECT label, count(*) AS n FROM t WHERE split = 'train' AND label IS NOT
 SELECT coalesce(CASE WHEN label IS NULL OR label IN (SELECT label FROM k) THEN label ELSE 'Other' END, 'NONE') AS label, split, count(*) AS n FROM t GROUP BY ALL""")
 def rare_class_collapse(spark, d):
     """Classes rare in train become Other everywhere."""
-    u = cur(spark, d).select("instance_id", "split", F.col("labels.dialogue_act_function").alias("label"))
+    u = cur(spark, d, "split", "labels.dialogue_act_function").select("instance_id", "split", F.col("labels.dialogue_act_function").alias("label"))
     out = labels.collapse_rare(u, "label", 20)
     return out.groupBy(F.coalesce("label", F.lit("NONE")).alias("label"), "split").agg(F.count(F.lit(1)).alias("n"))
 
@@ -480,21 +478,21 @@ j AS (SELECT CAST(id AS INT) AS id, label, coalesce(n, 0) AS n, CASE WHEN n > 0
 SELECT id, label, n, round(coalesce(w / avg(w) OVER (), 0), 6) AS weight FROM j""")
 def class_weights(spark, d):
     """Weights by the root of the class size, mean 1."""
-    u = cur(spark, d).where("split = 'train'").select(F.col("labels.sentiment_6").alias("label"))
+    u = cur(spark, d, "split", "labels.sentiment_6").where("split = 'train'").select(F.col("labels.sentiment_6").alias("label"))
     return labels.class_weights(u, "label", _ORDER, root=True).withColumn("weight", F.round("weight", 6))
 
 
 @query(f"WITH {CUR} SELECT list_sort(list(DISTINCT labels.speaker_gender)) AS labels FROM cur WHERE labels.speaker_gender IS NOT NULL")
 def label_order(spark, d):
     """The distinct labels in order."""
-    return labels.label_order(cur(spark, d).select(F.col("labels.speaker_gender").alias("label")), "label")
+    return labels.label_order(cur(spark, d, "labels.speaker_gender").select(F.col("labels.speaker_gender").alias("label")), "label")
 
 
 @query(f"""WITH {CUR}, f AS (SELECT avg(labels.sentiment_logit) AS m, stddev_pop(labels.sentiment_logit) AS s FROM cur WHERE split = 'train')
 SELECT instance_id, round((labels.sentiment_logit - m) / s, 5) AS z FROM cur, f WHERE labels.sentiment_logit IS NOT NULL""")
 def zscore_train(spark, d):
     """A label normalised by train's mean and deviation."""
-    u = cur(spark, d).select("instance_id", "split", F.col("labels.sentiment_logit").alias("v")).where("v is not null")
+    u = cur(spark, d, "split", "labels.sentiment_logit").select("instance_id", "split", F.col("labels.sentiment_logit").alias("v")).where("v is not null")
     return labels.zscore(u, "v").select("instance_id", F.round("z", 5).alias("z"))
 
 
@@ -507,7 +505,7 @@ CAST(nullif(list_position(['NeutralNeg','NeutralPos'], labels.sentiment_6), 0) -
 def label_remap_scale(spark, d):
     """Labels remapped, put on a scale and numbered."""
     s = "labels.sentiment_6"
-    return cur(spark, d).select(
+    return cur(spark, d, "labels.speaker_gender", "labels.sentiment_6").select(
         "instance_id", values.remap("labels.speaker_gender", {"F": "female", "M": "male"}).alias("gender"),
         values.scaled(s, _SCALE).alias("score"), values.label_index(s, ["NeutralNeg", "NeutralPos"]).alias("label_id"),
     )
@@ -520,7 +518,7 @@ coalesce(nullif(metadata.speaker_info.speaker_id, ''), nullif(metadata.speaker_i
 def derive_labels(spark, d):
     """Gender, age, pause count, capitalised act and speaker of each utterance."""
     i = "metadata.speaker_info."
-    return cur(spark, d).select(
+    return cur(spark, d, "metadata.filled_pauses", "labels.dialogue_act_function", "metadata.speaker_info.speaker_gender", "metadata.speaker_info.date", "metadata.speaker_info.speaker_birth", "metadata.speaker_info.speaker_id", "metadata.speaker_info.speaker_name").select(
         "instance_id", values.known_gender(i + "speaker_gender").alias("gender"), values.age(i + "date", i + "speaker_birth").alias("age"),
         values.count_or_null("metadata.filled_pauses").alias("pauses"), values.capitalise("labels.dialogue_act_function").alias("act"),
         values.first_filled(i + "speaker_id", i + "speaker_name", default="UNKNOWN").alias("who"),
@@ -534,7 +532,7 @@ regexp_extract(instance_id, '^(.*)_[^_]*$', 1) AS prefix, regexp_replace(regexp_
 regexp_replace(audio_path, '^data/', '') AS below FROM cur""")
 def derive_ids(spark, d):
     """Canonical ids, prefixes, stems and relative paths."""
-    return cur(spark, d).select(
+    return cur(spark, d, "dataset", "file_id", "speaker", "start_t", "end_t", "audio_path").select(
         "instance_id", ids.instance_id("dataset", "file_id", "speaker", "start_t", "end_t").alias("canonical"),
         ids.before_last("instance_id").alias("prefix"), ids.stem("audio_path").alias("stem"), ids.relative_to("audio_path", "data").alias("below"),
     )
@@ -547,7 +545,7 @@ def derive_ids(spark, d):
 SELECT a.split AS group_a, b.split AS group_b, count(*) AS n FROM p a JOIN p b ON a.speaker = b.speaker AND a.split < b.split GROUP BY ALL""")
 def speakers_shared(spark, d):
     """How many speakers each two splits share."""
-    return joins.shared_between(cur(spark, d).where(F.col("split").isin("train", "dev", "test")), "speaker", "split")
+    return joins.shared_between(cur(spark, d, "speaker", "split").where(F.col("split").isin("train", "dev", "test")), "speaker", "split")
 
 
 @query(f"""WITH {CUR} SELECT instance_id FROM cur WHERE NOT EXISTS (SELECT 1 FROM frame_records f WHERE f.instance_id = cur.instance_id)""")
@@ -566,14 +564,14 @@ def layer_division(spark, d):
 SELECT file_id, a AS split_a, b AS split_b FROM u JOIN f USING (file_id) WHERE a <> b""")
 def split_conflicts(spark, d):
     """Recordings whose split differs between two tables."""
-    return joins.split_conflicts(cur(spark, d), table(spark, d, "frame_records"))
+    return joins.split_conflicts(cur(spark, d, "file_id", "split"), table(spark, d, "frame_records"))
 
 
 @query(f"""WITH {CUR}, i AS (SELECT file_id AS stem, min(audio_path) AS path FROM frame_records GROUP BY 1) SELECT instance_id, path FROM cur JOIN i ON i.stem = cur.file_id""")
 def resolve_sources(spark, d):
     """A source path for each record, the first of the index; unresolved records drop out."""
     index = table(spark, d, "frame_records").select("file_id", F.col("audio_path").alias("path"))
-    return joins.resolve(cur(spark, d).select("instance_id", "file_id"), index, "file_id", ["path"]).select("instance_id", "path")
+    return joins.resolve(cur(spark, d, "file_id").select("instance_id", "file_id"), index, "file_id", ["path"]).select("instance_id", "path")
 
 
 @query(f"""WITH {CUR}, f AS (SELECT DISTINCT instance_id, frame_rate_hz FROM frame_records),
@@ -585,23 +583,12 @@ def parent_join(spark, d):
     return joins.parent_of(f, parents, "instance_id", ["ingested_at"], keep_orphans=True).drop("p_ingested_at")
 
 
-@query("""SELECT o_orderpriority, c_mktsegment, count(*) AS n, round(CAST(sum(CAST(round_even(o_totalprice * 100, 0) AS BIGINT)) AS DOUBLE) / 100, 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey
-JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 3 GROUP BY ALL""")
+@query("""SELECT o_orderpriority, c_mktsegment, n_regionkey, count(*) AS n, round(CAST(sum(CAST(round_even(o_totalprice * 100, 0) AS BIGINT)) AS DOUBLE) / 100, 2) AS total FROM orders
+LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL""")
 def manifest_join(spark, d):
-    """A manifest joined to its look-ups and summed."""
-    t = lambda n: table(spark, d, n)
-    j = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation").where("n_regionkey = 3"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return _manifest_sums(j)
-
-
-@query()
-def manifest_join_all(spark, d):
-    """All orders with what the look-ups know of them, summed."""
-    t = lambda n: table(spark, d, n)
-    j = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"), "left").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return _manifest_sums(j)
-
-
-def _manifest_sums(j):
+    """All rows of a manifest with what its look-ups know of them, summed."""
+    t = lambda n, *c: table(spark, d, n).select(*c)
+    look_ups = [(t("customer", "c_custkey", "c_nationkey", "c_mktsegment"), "o_custkey", "c_custkey"), (t("nation", "n_nationkey", "n_regionkey"), "c_nationkey", "n_nationkey")]
+    j = joins.manifest(t("orders", "o_custkey", "o_orderpriority", "o_totalprice"), look_ups)
     cents = F.sum(F.rint(F.col("o_totalprice") * 100).cast("bigint"))
-    return j.groupBy("o_orderpriority", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.round(cents.cast("double") / 100, 2).alias("total"))
+    return j.groupBy("o_orderpriority", "c_mktsegment", "n_regionkey").agg(F.count(F.lit(1)).alias("n"), F.round(cents.cast("double") / 100, 2).alias("total"))

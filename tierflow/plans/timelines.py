@@ -76,86 +76,51 @@ def point_in_interval_fallback(spark, d):
 
 
 @query(f"""WITH {CUR} SELECT instance_id, list_transform(list_filter(metadata.filled_pauses, lambda g: g.time_e > 1.0::DOUBLE + 1e-3::DOUBLE AND g.time_s < 5.0::DOUBLE - 1e-3::DOUBLE),
-lambda g: CAST(round_even(round(least(greatest(g.time_s - 1.0::DOUBLE, 0), 4.0::DOUBLE) * 1000, 6), 0) AS BIGINT)) AS starts FROM cur WHERE len(metadata.filled_pauses) > 0""")
+lambda g: CAST(round_even(round(least(greatest(g.time_s - 1.0::DOUBLE, 0), 4.0::DOUBLE) * 1000, 6), 0) AS BIGINT)) AS starts,
+list_transform(list_filter(metadata.filled_pauses, lambda g: g.time_e > 1.0::DOUBLE + 1e-3::DOUBLE AND g.time_s < 5.0::DOUBLE - 1e-3::DOUBLE),
+lambda g: CAST(round_even(round(least(greatest(g.time_e - 1.0::DOUBLE, 0), 4.0::DOUBLE) * 1000, 6), 0) AS BIGINT)) AS ends FROM cur WHERE len(metadata.filled_pauses) > 0""")
 def slice_rebased(spark, d):
     """Intervals within a window, counted from its start."""
     got = joins.slice_within(F.col("metadata.filled_pauses"), F.lit(1.0), F.lit(5.0))
-    u = cur(spark, d).where("size(metadata.filled_pauses) > 0")
-    return u.select("instance_id", F.transform(got, lambda g: F.rint(g["time_s"] * 1000).cast("bigint")).alias("starts"))
+    u = cur(spark, d, "metadata.filled_pauses").where("size(metadata.filled_pauses) > 0")
+    whole = lambda t: F.transform(got, lambda g: F.rint(g[t] * 1000).cast("bigint"))
+    return u.select("instance_id", whole("time_s").alias("starts"), whole("time_e").alias("ends"))
 
 
 # --- frames ---------------------------------------------------------------------------
 
-_FP = f"""WITH {CUR}, f AS (SELECT instance_id, metadata.filled_pauses AS fp, metadata.audio_length AS d FROM cur WHERE len(metadata.filled_pauses) > 0 AND metadata.audio_length IS NOT NULL AND metadata.audio_length < 12
+_FP = f"""WITH {CUR}, f AS (SELECT instance_id, metadata.filled_pauses AS fp, metadata.audio_length AS d FROM cur WHERE len(metadata.filled_pauses) > 0 AND metadata.audio_length IS NOT NULL
 AND list_bool_and(list_transform(metadata.filled_pauses, lambda p: p.time_s IS NOT NULL AND p.time_e IS NOT NULL)))"""
 
 
-def _all_pauses(spark, d):
+def _pauses(spark, d):
     p = F.col("metadata.filled_pauses")
     whole = F.forall(p, lambda x: x["time_s"].isNotNull() & x["time_e"].isNotNull())
-    u = cur(spark, d).where((F.size(p) > 0) & F.col("metadata.audio_length").isNotNull() & whole)
+    u = cur(spark, d, "metadata.filled_pauses", "metadata.audio_length").where((F.size(p) > 0) & F.col("metadata.audio_length").isNotNull() & whole)
     return u.select("instance_id", p.alias("fp"), F.col("metadata.audio_length").alias("d"))
 
 
-def _pauses(spark, d):
-    return _all_pauses(spark, d).where("d < 12")
-
-
-@query(_FP + """ SELECT instance_id, len(x) AS n, CAST(list_sum(x) AS BIGINT) AS ones, list_position(x, 1) AS first FROM (SELECT instance_id, list_transform(range(CAST(round_even(d * 50, 0) AS BIGINT)),
-lambda t: CAST(len(list_filter(fp, lambda p: t >= round_even(p.time_s * 50, 0) AND t < round_even(p.time_e * 50, 0))) > 0 AS INT)) AS x FROM f)""")
+@query(_FP + """ SELECT instance_id, list_transform(range(CAST(round_even(d * 50, 0) AS BIGINT)),
+lambda t: CAST(len(list_filter(fp, lambda p: t >= round_even(p.time_s * 50, 0) AND t < round_even(p.time_e * 50, 0))) > 0 AS INT)) AS frames FROM f""")
 def frame_labels_round(spark, d):
     """Intervals as frames, edges rounded half to even."""
-    return _frames_round(_pauses(spark, d))
-
-
-@query()
-def frame_labels_round_all(spark, d):
-    """frame_labels_round of utterances of any length."""
-    return _frames_round(_all_pauses(spark, d))
-
-
-def _frames_round(pauses):
-    x = frames.rasterise_rounded("fp", "d", 50)
-    return pauses.select("instance_id", x.alias("x")).select(
-        "instance_id", F.size("x").cast("bigint").alias("n"), frames.total("x").alias("ones"), F.nullif(F.array_position("x", 1), F.lit(0)).cast("int").alias("first")
-    )
+    return _pauses(spark, d).select("instance_id", frames.rasterise_rounded("fp", "d", 50).alias("frames"))
 
 
-@query(_FP + """ SELECT instance_id, len(x) AS n, CAST(list_sum(x) AS BIGINT) AS ones FROM (SELECT instance_id, list_transform(range(CAST(floor(d * 50) AS BIGINT)),
-lambda t: CAST(len(list_filter(fp, lambda p: p.time_e > p.time_s AND t >= floor(p.time_s * 50) AND t < ceil(p.time_e * 50))) > 0 AS INT)) AS x FROM f)""")
+@query(_FP + """ SELECT instance_id, list_transform(range(CAST(floor(d * 50) AS BIGINT)),
+lambda t: CAST(len(list_filter(fp, lambda p: p.time_e > p.time_s AND t >= floor(p.time_s * 50) AND t < ceil(p.time_e * 50))) > 0 AS INT)) AS frames FROM f""")
 def frame_labels_floor(spark, d):
     """Intervals as frames, every touched frame counts."""
-    return _frames_floor(_pauses(spark, d))
-
+    return _pauses(spark, d).select("instance_id", frames.rasterise_touched("fp", "d", 50).alias("frames"))
 
-@query()
-def frame_labels_floor_all(spark, d):
-    """frame_labels_floor of utterances of any length."""
-    return _frames_floor(_all_pauses(spark, d))
 
-
-def _frames_floor(pauses):
-    x = frames.rasterise_touched("fp", "d", 50)
-    return pauses.select("instance_id", x.alias("x")).select("instance_id", F.size("x").cast("bigint").alias("n"), frames.total("x").alias("ones"))
-
-
-@query(_FP + """, w AS (SELECT instance_id, round_even(round(greatest(0, fp[1].time_s - 2) * 1000, 6), 0) / 1000 AS window_start, round_even(round(least(d, fp[len(fp)].time_e + 2) * 1000, 6), 0) / 1000 AS window_end FROM f)
-SELECT instance_id, window_start, window_end, CAST(round_even(window_end * 50, 0) - greatest(round_even(window_start * 50, 0), 0) AS BIGINT) AS frames FROM w WHERE window_end >= window_start""")
+@query(_FP + """, w AS (SELECT *, round_even(round(greatest(0, fp[1].time_s - 2) * 1000, 6), 0) / 1000 AS window_start, round_even(round(least(d, fp[len(fp)].time_e + 2) * 1000, 6), 0) / 1000 AS window_end FROM f)
+SELECT instance_id, window_start, window_end, list_transform(range(CAST(greatest(round_even(window_start * 50, 0), 0) AS BIGINT), CAST(least(round_even(window_end * 50, 0), round_even(d * 50, 0)) AS BIGINT)),
+lambda t: CAST(len(list_filter(fp, lambda p: t >= round_even(p.time_s * 50, 0) AND t < round_even(p.time_e * 50, 0))) > 0 AS INT)) AS filled_pause FROM w WHERE window_end >= window_start""")
 def window_around_events(spark, d):
     """The window around a recording's events, and its frames."""
-    return _windows(_pauses(spark, d))
-
-
-@query()
-def window_around_events_all(spark, d):
-    """window_around_events of utterances of any length."""
-    return _windows(_all_pauses(spark, d))
-
-
-def _windows(pauses):
-    out = reshape.window_records(pauses, F.col("fp"), F.col("d"), 2.0, 50).where("window_end >= window_start")
-    n = F.rint(F.col("window_end") * 50) - F.greatest(F.rint(F.col("window_start") * 50), F.lit(0.0))
-    return out.select("instance_id", "window_start", "window_end", n.cast("bigint").alias("frames"))
+    out = reshape.window_records(_pauses(spark, d), F.col("fp"), F.col("d"), 2.0, 50).where("window_end >= window_start")
+    return out.select("instance_id", "window_start", "window_end", "filled_pause")
 
 
 _BITS = "bits AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x > 0 AS INT)) AS b FROM embeddings)"
@@ -180,20 +145,13 @@ def conv_output_length(spark, d):
     return table(spark, d, "documents").where("n_chars is not null").select("doc_id", n.cast("bigint").alias("frames"))
 
 
-@query(f"WITH {_BITS} SELECT vec_id, b[1:10] || list_transform(range(2), lambda i: -100) AS padded, b[11:20] AS sliced FROM bits")
+@query(f"WITH {_BITS} SELECT vec_id, b || list_transform(range(16), lambda i: -100) AS padded, b[1:50] AS trimmed, b[11:20] AS sliced FROM bits")
 def frame_pad_slice(spark, d):
-    """Frames cut, padded with the ignored label, and sliced by time."""
-    return _padded(spark, d, F.slice("b", 1, 10), 12)
-
-
-@query()
-def frame_pad_slice_all(spark, d):
-    """frame_pad_slice with whole sequences, padded to 80."""
-    return _padded(spark, d, F.col("b"), 80)
-
-
-def _padded(spark, d, b, to):
-    return _bits(spark, d).select("vec_id", frames.pad(b, F.lit(to)).alias("padded"), frames.frame_slice("b", F.lit(0.2), F.lit(0.4), F.lit(50)).alias("sliced"))
+    """Frames padded with the ignored label, cut to a length, and sliced by time."""
+    return _bits(spark, d).select(
+        "vec_id", frames.pad("b", F.lit(80)).alias("padded"), frames.pad("b", F.lit(50)).alias("trimmed"),
+        frames.frame_slice("b", F.lit(0.2), F.lit(0.4), F.lit(50)).alias("sliced"),
+    )
 
 
 @query("""WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS e FROM embeddings), m AS (SELECT vec_id, e, list_max(e) AS t FROM x),
@@ -205,15 +163,9 @@ def softmax_argmax(spark, d):
 
 
 @query(f"""WITH {_BITS} SELECT vec_id, CAST(list_sum(b) AS BIGINT) AS ones, list_sum(b) > 0 AS any_one, CAST(len(list_filter(range(1, 33), lambda i: b[i] <> b[i + 32])) AS INT) AS wrong,
-len(list_filter(range(1, 33), lambda i: b[i] <> b[i + 32])) / 32.0::DOUBLE AS rate, list_transform(range(1, 4), lambda i: CASE WHEN b[i] = 1 AND b[i + 32] = 1 THEN 'hit' WHEN b[i] = 1 THEN 'miss' WHEN b[i + 32] = 1 THEN 'false' ELSE 'none' END) AS outcome FROM bits""")
+len(list_filter(range(1, 33), lambda i: b[i] <> b[i + 32])) / 32.0::DOUBLE AS rate, list_transform(range(1, 33), lambda i: CASE WHEN b[i] = 1 AND b[i + 32] = 1 THEN 'hit' WHEN b[i] = 1 THEN 'miss' WHEN b[i + 32] = 1 THEN 'false' ELSE 'none' END) AS outcome FROM bits""")
 def frame_errors(spark, d):
     """Sums, mismatches and outcomes of frames against other frames."""
-    return frame_errors_all(spark, d).withColumn("outcome", F.slice("outcome", 1, 3))
-
-
-@query()
-def frame_errors_all(spark, d):
-    """frame_errors with the outcomes of all frames."""
     g, p = F.slice("b", 1, 32), F.slice("b", 33, 32)
     return _bits(spark, d).select(
         "vec_id", frames.total("b").alias("ones"), frames.any_positive("b").alias("any_one"), frames.mismatches(g, p).alias("wrong"),
@@ -285,16 +237,20 @@ def islands_event_type(spark, d):
 UNION ALL SELECT instance_id, 'act', labels.dialogue_act_function, split FROM cur) WHERE label IS NOT NULL AND coalesce(split, '') <> ''""")
 def unpivot_tasks(spark, d):
     """One row per record and task."""
-    u = cur(spark, d).select("instance_id", "split", F.col("labels.speaker_gender").alias("g"), F.col("labels.speaker_age").alias("a"), F.col("labels.dialogue_act_function").alias("f"))
+    u = cur(spark, d, "split", "labels.speaker_gender", "labels.speaker_age", "labels.dialogue_act_function").select("instance_id", "split", F.col("labels.speaker_gender").alias("g"), F.col("labels.speaker_age").alias("a"), F.col("labels.dialogue_act_function").alias("f"))
     return reshape.unpivot_tasks(u, {"gender": ("g", "split"), "age": ("a", "split"), "act": ("f", "split")}, ["instance_id"])
 
 
-@query(f"""WITH {CUR}, x AS (SELECT instance_id, coalesce(start_t, 0.0) AS b, unnest(list_transform(metadata.filled_pauses, lambda p, i: {{'s': p.time_s, 'e': p.time_e, 'i': i}})) AS p FROM cur WHERE len(metadata.filled_pauses) > 0)
-SELECT instance_id AS source_utterance_id, CAST(p.i AS INT) AS event_index FROM x""")
+@query(f"""WITH {CUR}, x AS (SELECT instance_id, dataset, file_id, speaker, split, coalesce(start_t, 0.0::DOUBLE) AS b, unnest(list_transform(metadata.filled_pauses, lambda p, i: {{'s': p.time_s, 'e': p.time_e, 'i': i}})) AS p FROM cur WHERE len(metadata.filled_pauses) > 0),
+y AS (SELECT *, round_even(round(p.s * 1000, 6), 0) / 1000 AS a, round_even(round(p.e * 1000, 6), 0) / 1000 AS z FROM x)
+SELECT instance_id || '_ev' || lpad(CAST(p.i AS VARCHAR), CAST(greatest(2, length(CAST(p.i AS VARCHAR))) AS INT), '0') || '_' || coalesce(printf('%.3f', a), 'null') || '-' || coalesce(printf('%.3f', z), 'null') AS instance_id,
+instance_id AS source_utterance_id, dataset, file_id, speaker, split, CAST(p.i AS INT) AS event_index,
+round_even(round((b + a) * 1000, 5), 0) / 1000 AS start_t, round_even(round((b + z) * 1000, 5), 0) / 1000 AS end_t, NULL::VARCHAR AS fp_type, '?' AS raw_label FROM y""")
 def event_explode(spark, d):
     """One row per event of an utterance."""
     e = F.transform("metadata.filled_pauses", lambda p: F.struct(p["time_s"].alias("start_s"), p["time_e"].alias("end_s"), F.lit("?").alias("label")))
-    return reshape.event_rows(cur(spark, d), e).select("source_utterance_id", "event_index")
+    u = cur(spark, d, "metadata.filled_pauses", "dataset", "file_id", "speaker", "split", "start_t")
+    return reshape.event_rows(u, e)
 
 
 @query()
@@ -339,32 +295,22 @@ def pool_union(spark, d):
 # --- metrics ------------------------------------------------------------------------------
 
 _CONF = f"""WITH {CUR}, c AS (SELECT labels.sentiment_6 AS gold, CASE WHEN labels.sentiment_logit > 0 THEN 'Positive' WHEN labels.sentiment_logit <= 0 THEN 'Negative' END AS pred, count(*) AS n FROM cur
-WHERE labels.sentiment_6 IN ('Positive', 'Negative', 'NeutralPos') AND labels.sentiment_logit IS NOT NULL GROUP BY 1, 2),
+WHERE labels.sentiment_6 IS NOT NULL AND labels.sentiment_logit IS NOT NULL GROUP BY 1, 2),
 l AS (SELECT gold AS label FROM c UNION SELECT pred FROM c),
 f AS (SELECT label, coalesce((SELECT sum(n) FROM c WHERE gold = label AND pred = label), 0) AS tp, coalesce((SELECT sum(n) FROM c WHERE gold = label), 0) AS g, coalesce((SELECT sum(n) FROM c WHERE pred = label), 0) AS p FROM l)"""
 
 
-def _all_confusion(spark, d):
-    u = cur(spark, d).where(F.col("labels.sentiment_6").isNotNull() & F.col("labels.sentiment_logit").isNotNull())
+def _confusion(spark, d):
+    u = cur(spark, d, "labels.sentiment_6", "labels.sentiment_logit").where(F.col("labels.sentiment_6").isNotNull() & F.col("labels.sentiment_logit").isNotNull())
     pred = F.when(F.col("labels.sentiment_logit") > 0, "Positive").otherwise("Negative")
     return metrics.confusion(u.select(F.col("labels.sentiment_6").alias("g"), pred.alias("p")), "g", "p")
 
 
-def _confusion(spark, d):
-    return _all_confusion(spark, d).where(F.col("gold").isin("Positive", "Negative", "NeutralPos"))
-
-
-@query(_CONF + """, o AS (SELECT unnest(['Negative', 'NeutralPos', 'Positive']) AS x), cell AS (SELECT a.x AS gold, b.x AS pred, coalesce(n, 0) AS n FROM o a CROSS JOIN o b LEFT JOIN c ON c.gold = a.x AND c.pred = b.x)
+@query(_CONF + """, o AS (SELECT label AS x FROM l), cell AS (SELECT a.x AS gold, b.x AS pred, coalesce(n, 0) AS n FROM o a CROSS JOIN o b LEFT JOIN c ON c.gold = a.x AND c.pred = b.x)
 SELECT gold, pred, n, round(coalesce(n * 100.0::DOUBLE / nullif(sum(n) OVER (PARTITION BY gold), 0), 0), 6) AS pct FROM cell""")
 def confusion_matrix(spark, d):
     """Every cell with its count and share of the gold row."""
-    return metrics.full_confusion(_confusion(spark, d), ["Negative", "NeutralPos", "Positive"]).withColumn("pct", F.round("pct", 6))
-
-
-@query()
-def confusion_matrix_all(spark, d):
-    """confusion_matrix of every label seen."""
-    return metrics.full_confusion(_all_confusion(spark, d)).withColumn("pct", F.round("pct", 6))
+    return metrics.full_confusion(_confusion(spark, d)).withColumn("pct", F.round("pct", 6))
 
 
 @query(_CONF + """ SELECT (SELECT round(sum(n) FILTER (gold = pred) / sum(n), 6) FROM c) AS accuracy, round(avg(CASE WHEN g + p > 0 THEN 2.0::DOUBLE * tp / (g + p) ELSE 0 END), 6) AS macro_f1 FROM f""")
@@ -373,23 +319,13 @@ def macro_f1(spark, d):
     return metrics.classification_metrics(_confusion(spark, d)).select(F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))
 
 
-@query()
-def macro_f1_all(spark, d):
-    """macro_f1 of every label seen."""
-    return metrics.classification_metrics(_all_confusion(spark, d)).select(F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))
-
-
-@query(_CONF + """ SELECT label, round(coalesce(tp / nullif(p, 0), 0), 6) AS precision, round(coalesce(tp / nullif(g, 0), 0), 6) AS recall, round(coalesce(2.0::DOUBLE * tp / nullif(g + p, 0), 0), 6) AS f1, CAST(g AS BIGINT) AS support FROM f""")
+@query(_CONF + """, r AS (SELECT label, g, coalesce(tp / nullif(p, 0), 0)::DOUBLE AS precision, coalesce(tp / nullif(g, 0), 0)::DOUBLE AS recall, coalesce(2.0::DOUBLE * tp / nullif(g + p, 0), 0)::DOUBLE AS f1 FROM f)
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(g AS BIGINT) AS support FROM r
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(g) AS BIGINT) FROM r
+UNION ALL SELECT 'weighted avg', round(sum(precision * g) / sum(g), 6), round(sum(recall * g) / sum(g), 6), round(sum(f1 * g) / sum(g), 6), CAST(sum(g) AS BIGINT) FROM r""")
 def class_report(spark, d):
-    """Precision, recall, F1 and support of each class."""
-    out = metrics.class_report(_confusion(spark, d))
-    return out.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
-
-
-@query()
-def class_report_all(spark, d):
-    """class_report of every label seen."""
-    out = metrics.class_report(_all_confusion(spark, d))
+    """Precision, recall, F1 and support of each class and on average."""
+    out = metrics.report_with_averages(_confusion(spark, d))
     return out.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
@@ -443,10 +379,11 @@ def safe_names(spark, d):
     return table(spark, d, "frame_records").select("instance_id", ids.sanitise_unicode("instance_id").alias("safe")).distinct()
 
 
-@query()
+@query(f"""WITH {CUR}, p AS (SELECT metadata.source_audio AS a, split_part(metadata.source_audio, '/', 1) AS first, regexp_replace(regexp_extract(metadata.source_audio, '[^/]*$'), '(.)\\.[^.]*$', '\\1') AS stem FROM cur)
+SELECT CASE WHEN contains(a, '/') AND first NOT IN ('', 'audio') THEN first ELSE coalesce(nullif(regexp_extract(stem, '(?s)^(.*)_[^_]*$', 1), ''), nullif(substr(stem, 1, 2), ''), 'misc') END AS bucket, count(*) AS n FROM p GROUP BY 1""")
 def audio_buckets(spark, d):
     """Folders of sources by their path."""
-    b = cur(spark, d).select(ids.audio_bucket("metadata.source_audio").alias("bucket"))
+    b = cur(spark, d, "metadata.source_audio").select(ids.audio_bucket("metadata.source_audio").alias("bucket"))
     return b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -458,18 +395,21 @@ def file_domains(spark, d):
 
 
 @query(f"""WITH {_TIERS}, f AS (SELECT file_id, max(e) / 1000.0::DOUBLE AS d FROM tiers GROUP BY 1), p AS (SELECT file_id, s / 1000.0::DOUBLE AS s, e / 1000.0::DOUBLE AS e FROM tiers WHERE tier = 'FilledPauses' AND e > s),
-x AS (SELECT file_id, unnest(range(CAST(floor(d * 10) AS BIGINT))) AS t FROM f), h AS (SELECT DISTINCT x.file_id, t FROM x JOIN p ON p.file_id = x.file_id AND t >= floor(s * 10) AND t < ceil(e * 10))
-SELECT f.file_id, CAST(floor(d * 10) AS INT) AS n, coalesce(k, 0) AS ones FROM f LEFT JOIN (SELECT file_id, count(*) AS k FROM h GROUP BY 1) USING (file_id)""")
+x AS (SELECT file_id, unnest(range(CAST(floor(d * 50) AS BIGINT))) AS t FROM f), h AS (SELECT DISTINCT x.file_id, t FROM x JOIN p ON p.file_id = x.file_id AND t >= floor(s * 50) AND t < ceil(e * 50))
+SELECT x.file_id, list(CAST(h.t IS NOT NULL AS INT) ORDER BY x.t) AS frames FROM x LEFT JOIN h ON h.file_id = x.file_id AND h.t = x.t GROUP BY x.file_id
+UNION ALL SELECT file_id, []::INT[] FROM f WHERE floor(d * 50) <= 0""")
 def file_frames(spark, d):
     """One frame record per recording; recordings without events are all zero."""
     t = tiers(spark, d)
     files = t.groupBy("file_id").agg((F.max("end_ms") / 1000.0).alias("duration"))
     spans = tiers(spark, d, "FilledPauses").select("file_id", (F.col("start_ms") / 1000.0).alias("start_t"), (F.col("end_ms") / 1000.0).alias("end_t"))
-    out = reshape.file_frames(files, spans, rate=10)
-    return out.select("file_id", F.size("frames").alias("n"), frames.total("frames").alias("ones"))
+    return reshape.file_frames(files, spans, rate=50).select("file_id", "frames")
 
 
-@query()
+@query(f"""WITH {_BITS}, e AS (SELECT vec_id, len(list_filter(range(1, 33), lambda i: b[i] <> b[i + 32])) / 32.0::DOUBLE AS err, 32 AS n, md5('speech-ml-pipeline::' || CAST(vec_id AS VARCHAR)) AS h FROM bits),
+b AS (SELECT * FROM e ORDER BY err, vec_id LIMIT 5), w AS (SELECT * FROM e WHERE vec_id NOT IN (SELECT vec_id FROM b) ORDER BY err DESC, vec_id LIMIT 5),
+r AS (SELECT * FROM e WHERE vec_id NOT IN (SELECT vec_id FROM b) AND vec_id NOT IN (SELECT vec_id FROM w) ORDER BY h LIMIT 5)
+SELECT vec_id, err, n, 'best' AS tier FROM b UNION ALL SELECT vec_id, err, n, 'worst' FROM w UNION ALL SELECT vec_id, err, n, 'random' FROM r""")
 def error_tiers(spark, d):
     """The best, the worst and some other records by frame error."""
     from tierflow.operators.splits import tiers as by_error
