@@ -11,8 +11,8 @@ from tierflow.common import cut, current, ms, table
 from tierflow.llm import encode, encoding_repair, group_split, mix, packing, pieces, quota_sample, vocabulary
 
 
-def _current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current(table(spark, sf_dir, "utterances"))
+def _current(spark: SparkSession, sf_dir: str, *paths: str) -> DataFrame:
+    return current(table(spark, sf_dir, "utterances"), payload=paths)
 
 
 def _limits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,11 +20,8 @@ def _limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "utterances")
-    rows = raw.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
-    return packing.pack(
-        packing.utterance_lengths(current(raw)), _limits(spark, sf_dir), rows_per_key=rows
-    )
+    lengths = packing.utterance_lengths(_current(spark, sf_dir, "dataset", "metadata.audio_length", "start_t", "end_t"))
+    return packing.pack(lengths, _limits(spark, sf_dir))
 
 
 def p1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,14 +35,14 @@ def p1_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The utterances that the packing had to divide."""
-    return _packed(spark, sf_dir).where("part = 1").select("instance_id")
+    """The utterances that the packing put into more than one container."""
+    return packing.divided(_packed(spark, sf_dir))
 
 
 def p2_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """field, term, id, occurrences, records, mark."""
     fields = ["speaker", "sentiment_6", "dialogue_act_function", "fp_type"]
-    return vocabulary.term_frequencies(vocabulary.utterance_terms(_current(spark, sf_dir)), fields)
+    return vocabulary.term_frequencies(vocabulary.utterance_terms(_current(spark, sf_dir, "speaker", *[f"labels.{f}" for f in fields[1:]])), fields)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +50,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sample(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = cut(quota_sample.eligible(_current(spark, sf_dir)))
+    rows = cut(quota_sample.eligible(_current(spark, sf_dir, "metadata.speaker_info.lang", "metadata.speaker_info.speaker_gender", "labels.sentiment_6")))
     targets = quota_sample.targets_of(table(spark, sf_dir, "sample_targets"))
     return quota_sample.quota_sample(rows, targets, ["lang", "gender", "sentiment_6"])
 
@@ -72,7 +69,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_split.entities(_current(spark, sf_dir), table(spark, sf_dir, "speakers"))
+    return group_split.entities(_current(spark, sf_dir, "file_id", "speaker", "split"), table(spark, sf_dir, "speakers"))
 
 
 def p5_split(spark: SparkSession, sf_dir: str) -> DataFrame:
