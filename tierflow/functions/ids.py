@@ -30,8 +30,9 @@ def instance_id(dataset, file_id, speaker=None, start_t=None, end_t=None) -> Col
 
 
 def event_id(parent: Column | str, index: Column | str, start: Column | str, end: Column | str) -> Column:
-    """Id of an event of a parent record: parent_ev03_1.250-1.500."""
-    return F.format_string("%s_ev%02d_%.3f-%.3f", col(parent), col(index), col(start), col(end))
+    """Id of an event of a parent record: parent_ev03_1.250-1.500; a bound that isn't known is 'null'."""
+    time = lambda t: F.when(col(t).isNotNull(), F.format_string("%.3f", col(t))).otherwise("null")
+    return F.format_string("%s_ev%02d_%s-%s", col(parent), col(index), time(start), time(end))
 
 
 def before_last(text: Column | str, mark: str = "_") -> Column:
