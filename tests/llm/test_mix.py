@@ -1,5 +1,7 @@
 """Raking, caps, drawn shares and shortfalls."""
 
+import random
+
 import numpy as np
 
 from tierflow.llm import mix
@@ -10,13 +12,27 @@ TARGETS = "source string, target_permille int, max_repeats int"
 
 def test_raking_meets_sources_within_caps():
     rng = np.random.default_rng(1)
-    tokens = rng.integers(0, 1000, (4, 3, 2)).astype(float)
+    places = np.array([[s, i, t] for s in range(4) for i in range(3) for t in range(2)]).T
+    tokens = rng.integers(0, 1000, 24).astype(float)
     want = tokens.sum() / 2 * np.array([0.4, 0.3, 0.2, 0.1])
     repeats = np.array([2.0, 1.0, 3.0, 1.0])
-    out = mix.rake(tokens, want, repeats)
-    most = tokens * repeats[:, None, None]
+    out = mix.rake(tokens, places, want, repeats)
+    most = tokens * repeats[places[0]]
     assert (out <= most + 1e-6).all() and (out >= 0).all()
-    np.testing.assert_allclose(out.sum((1, 2)), np.minimum(want, most.sum((1, 2))), rtol=1e-6)
+    per = lambda x: np.bincount(places[0], x)
+    np.testing.assert_allclose(per(out), np.minimum(want, per(most)), rtol=1e-6)
+
+
+def test_open_sources_are_within_one_percent(spark):
+    rng = random.Random(2)
+    langs = ["hr", "sr", "sl", *[f"l{k}" for k in range(80)]]  # more than any fixed number of levels
+    rows = [(i, "riječ " * rng.randint(1, 200), rng.choice(langs) if i % 3 else "hr", "big" if i % 4 else "other") for i in range(6000)]
+    targets = [("big", 300, 2), ("other", 500, 1)]
+    m = mix.Mixture(spark.createDataFrame(rows, SCHEMA).repartition(5), spark.createDataFrame(targets, TARGETS))
+    report = {r.source: r for r in m.report().collect()}
+    assert abs(report["big"].reached_tokens / report["big"].wanted_tokens - 1) < 0.01
+    assert report["other"].short and report["other"].reached_tokens == report["other"].own_tokens
+    assert m.copies().count() == 6000
 
 
 def test_mixture(spark):

@@ -12,7 +12,7 @@ def test_sample_follows_quotas_and_reports_shortfalls(spark):
     targets = spark.createDataFrame([("a", 500, 1), ("b", 450, 1), ("c", 50, 40), ("d", 1, 0), ("e", 0, 0)], "cat string, permille bigint, floor bigint")
     sample, report = q.quota_sample(df, targets, ["cat"])
     got = {r.cat: r for r in report.collect()}
-    assert {c: r.quota for c, r in got.items()} == {"a": 100, "b": 90, "c": 10, "d": 0, "e": 0}
+    assert {c: (r.quota, r.drawn) for c, r in got.items()} == {"a": (100, 100), "b": (90, 90), "c": (10, 10), "d": (0, 0), "e": (0, 0)}
     assert {c for c, r in got.items() if r.short} == {"c", "d"}
     assert {r.cat: r["count"] for r in sample.groupBy("cat").count().collect()} == {"a": 100, "b": 90, "c": 10}
     assert sample.columns == df.columns and sample.distinct().count() == 200
@@ -38,6 +38,22 @@ def test_largest_remainder(shares, n):
     assert all(abs(x - n * s / 1000) < 1 for x, s in zip(quotas, shares))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 400), st.integers(0, 30), st.integers(0, 120)), min_size=1, max_size=8), st.integers(0, 500))
+def test_places_of_capped_categories_go_to_others(cells, n):
+    rows = [{"permille": p, "floor": f, "available": a} for p, f, a in cells]
+    quotas = q.allocate(rows, n)
+    assert all(min(f, a) <= x <= a for x, (_, f, a) in zip(quotas, cells))
+    # no place is left while a category with a share has rows
+    no_floor = q.allocate([r | {"floor": 0} for r in rows], n)
+    total = n * sum(r["permille"] for r in rows) // 1000
+    assert sum(no_floor) == min(total, sum(a for p, _, a in cells if p))
+    # below its own share, rounded down, only if all rows are drawn
+    assert all(x == a for x, (p, _, a) in zip(quotas, cells) if x < n * p // 1000)
+    short = [a < max(f, -(-n * p // 1000)) for p, f, a in cells]
+    assert short == [x == a and x < max(f, -(-n * p // 1000)) for x, (p, f, a) in zip(quotas, cells)]
+
+
 def test_eligible_needs_all_three(spark):
     schema = "instance_id string, labels struct<sentiment_6:string>, metadata struct<speaker_info:struct<lang:string,speaker_gender:string>>"
     rows = [("a", ("Positive ",), (("HR", "f"),)), ("b", ("-",), (("hr", "F"),)), ("c", None, (("hr", "F"),)), ("d", ("x",), None)]

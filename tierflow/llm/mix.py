@@ -3,9 +3,11 @@
 Method: iterative proportional fitting. Token counts of the documents are summed
 into a table of source x language x topic; the table is raked in turn to the
 source targets, the language shares and the topic shares; the weight of a cell
-over its tokens is the calibrated rate at which its documents occur, and a
-document occurs floor(rate) times, once more with the probability of the rest,
-by a hash of its id.
+over its tokens is the calibrated rate at which its documents occur. Documents are
+drawn systematically: in order of source and tokens, one occurs as often as the
+running sum of the rates passes a whole number there, which is floor(rate) or one
+more, never more than max_repeats; the tokens of a source follow its rates but for
+about one document.
 
 Source targets win: raking ends with the sources, and no cell goes beyond
 max_repeats (what is cut off goes to the other cells of the source). Language
@@ -27,13 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.common import cut, normalised
+from tierflow.common import before_in_order, cut, normalised, small, with_totals
 from tierflow.llm.encode import VOCABULARY, count_tokens
 
-#: Levels of language and topic in the raked table; lighter ones share one level.
-MAX_LEVELS = 64
-#: Most sources that may have a target; the raked table is held by the driver.
-MAX_SOURCES = 10_000
+#: Most cells (source with a target, language, topic) of the raked table, which the driver holds; more are an error.
+MAX_CELLS = 5_000_000
+#: Rates are whole multiples of one over this, so that their sums are exact.
+UNIT = 1 << 24
 
 CELLS = ["source", "lang", "topic"]
 
@@ -74,49 +76,46 @@ def sized(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:
     return count_tokens(rows, "text", "tokens", keep=["doc_id", *CELLS], path=path)
 
 
-def fill(want: float, weights: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Scales weights to the sum ``want``, none above ``most``; the rest is spread again."""
-    out = np.minimum(weights, 0.0)
-    open_ = most > 0
-    left = min(want, float(most.sum()))
-    while left > 1e-9 and open_.any():
+def filled(want: np.ndarray, source: np.ndarray, weights: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Scales the weights of each source's cells to the sum ``want``, none above ``most``; the rest is spread again."""
+    n, out = len(want), np.zeros_like(weights)
+    sums = lambda x: np.bincount(source, x, n)
+    goal = np.minimum(want, sums(most))
+    while True:
+        left = goal - sums(out)
+        open_ = (most - out > 1e-9 * np.maximum(most, 1.0)) & (left > 1e-9 * np.maximum(goal, 1.0))[source]
+        if not open_.any():
+            return out
         w = np.where(open_, weights, 0.0)
-        if w.sum() <= 0:
-            w = np.where(open_, most - out, 0.0)
-        step = np.minimum(w / w.sum() * left, most - out)
-        out += step
-        left -= float(step.sum())
-        open_ &= most - out > 1e-9 * np.maximum(most, 1)
-        if step.sum() <= 1e-12:
-            break
-    return out
+        empty = (sums(w) <= 0)[source] & open_  # cells without weight are filled by their room
+        w = np.where(empty, most - out, w)
+        step = np.minimum(w / np.where(sums(w) > 0, sums(w), 1.0)[source] * left[source], most - out)
+        step = np.where(open_, step, 0.0)
+        if step.sum() <= 1e-12 * max(goal.sum(), 1.0):
+            return out
+        out = out + step
 
 
 def rake(
-    tokens: np.ndarray, want: np.ndarray, repeats: np.ndarray, rounds: int = 50, tolerance: float = 1e-6
+    tokens: np.ndarray, places: np.ndarray, want: np.ndarray, repeats: np.ndarray, rounds: int = 50, tolerance: float = 1e-6
 ) -> np.ndarray:
-    """Tokens of each cell of the mixture. ``tokens``: source x language x topic."""
+    """Tokens of each cell in the mixture. ``tokens`` of the cells; ``places``: their source, language and topic, numbered."""
     total = tokens.sum()
     if total <= 0:
         return np.zeros_like(tokens)
-    most = tokens * repeats[:, None, None]
+    source = places[0]
+    most = tokens * repeats[source]
     mixture = min(float(want.sum()), float(most.sum()))
     weights = tokens.copy()
-
-    def to_sources(w: np.ndarray) -> np.ndarray:
-        return np.stack([fill(want[s], w[s].ravel(), most[s].ravel()).reshape(w[s].shape) for s in range(len(want))])
-
     for _ in range(rounds):
         before = weights
-        weights = to_sources(weights)
-        for axis in (1, 2):
-            others = tuple(a for a in range(3) if a != axis)
-            have, goal = weights.sum(others), tokens.sum(others) / total * mixture
-            factor = np.divide(goal, have, out=np.ones_like(have), where=have > 0)
-            weights = weights * np.expand_dims(factor, others)
+        weights = filled(want, source, weights, most)
+        for place in places[1:]:
+            have, goal = np.bincount(place, weights), np.bincount(place, tokens) / total * mixture
+            weights = weights * np.divide(goal, have, out=np.ones_like(have), where=have > 0)[place]
         if np.abs(weights - before).max() <= tolerance * max(mixture, 1.0):
             break
-    return to_sources(weights)
+    return filled(want, source, weights, most)
 
 
 class Mixture:
@@ -128,76 +127,66 @@ class Mixture:
     def __init__(
         self, documents: DataFrame, mix_targets: DataFrame, share: float = 0.5, seed: str = "mix", path: str = VOCABULARY
     ) -> None:
-        self.spark, self.seed = documents.sparkSession, seed
+        self.spark, self.seed, self.share = documents.sparkSession, seed, share
         self.targets = targets_of(mix_targets)
-        n_targets = self.targets.count()
-        if n_targets > MAX_SOURCES:
-            raise ValueError(f"{n_targets} sources have targets; at most {MAX_SOURCES} can")
-        self.sizes = sized(documents, path)
+        goals = sorted(self.targets.limit(MAX_CELLS + 1).collect(), key=lambda r: r["source"])
+        self.sizes = cut(sized(documents, path))  # each text is tokenised once
         counted = self.sizes.groupBy(*CELLS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents"))
-        self.cells = cut(counted.join(self.targets, "source", "left_semi"))
-        levels = {
-            c: [
-                r[c]
-                for r in self.cells.groupBy(c).agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), c).limit(MAX_LEVELS - 1).collect()
-            ]
-            for c in ("lang", "topic")
-        }
-        self.levels = levels
-        pooled = self.pooled(self.cells).groupBy(*CELLS).agg(F.sum("tokens").alias("tokens")).collect()
-        goals = sorted(self.targets.collect(), key=lambda r: r["source"])
-        at = {r["source"]: i for i, r in enumerate(goals)}
-        places = {c: {v: i for i, v in enumerate(levels[c])} for c in levels}
-        tokens = np.zeros((len(goals), len(levels["lang"]) + 1, len(levels["topic"]) + 1))
-        place = lambda r: (at[r["source"]], *(places[c].get(r[c], len(levels[c])) for c in levels))
-        for r in pooled:
-            tokens[place(r)] += r["tokens"]
+        cells = counted.join(small(self.targets.select("source")), "source", "left_semi").limit(MAX_CELLS + 1).toArrow()
+        if len(goals) > MAX_CELLS or cells.num_rows > MAX_CELLS:
+            raise ValueError(f"more than {MAX_CELLS} cells of source, language and topic")
+        names = {c: cells.column(c).to_pylist() for c in CELLS}
+        numbers = {c: {v: i for i, v in enumerate(dict.fromkeys(names[c]))} for c in CELLS} | {"source": {r["source"]: i for i, r in enumerate(goals)}}
+        places = np.array([[numbers[c][v] for v in names[c]] for c in CELLS], np.int64).reshape(3, -1)
+        tokens = cells.column("tokens").to_numpy().astype(float)
         self.total = int(tokens.sum())
         want = np.array([share * self.total * r["permille"] / 1000 for r in goals])
-        fitted = rake(tokens, want, np.array([float(r["repeats"]) for r in goals])) if goals else tokens
+        repeats = np.array([float(r["repeats"]) for r in goals])
+        fitted = rake(tokens, places, want, repeats) if goals and len(tokens) else np.zeros_like(tokens)
         rates = np.divide(fitted, tokens, out=np.zeros_like(fitted), where=tokens > 0)
-        self.share = share
+        text = [T.StructField(c, T.StringType()) for c in CELLS]
         self.rates = self.spark.createDataFrame(
-            [(r["source"], r["lang"], r["topic"], float(rates[place(r)])) for r in pooled],
-            T.StructType([*(T.StructField(c, T.StringType()) for c in CELLS), T.StructField("rate", T.DoubleType())]),
+            list(zip(*names.values(), np.rint(rates * UNIT).astype(int).tolist())), T.StructType([*text, T.StructField("rate", T.LongType())])
+        )
+        raked = np.bincount(places[0], fitted, len(goals)) if len(tokens) else np.zeros(len(goals))
+        self.raked = self.spark.createDataFrame(
+            [(r["source"], float(x)) for r, x in zip(goals, raked)], T.StructType([text[0], T.StructField("raked_tokens", T.DoubleType())])
         )
-
-    def pooled(self, df: DataFrame) -> DataFrame:
-        """Languages and topics beyond the kept levels share the level NULL."""
-        keep = {c: F.col(c).isin(*v) if v else F.lit(False) for c, v in self.levels.items()}
-        return df.withColumns({c: F.when(k, F.col(c)) for c, k in keep.items()})
 
     def copies(self) -> DataFrame:
-        """How many times each document occurs; 0 for documents out of the mixture."""
-        d, r = self.pooled(self.sizes).alias("d"), self.rates.alias("r")
-        same = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in CELLS]
-        rate = F.coalesce(F.col("r.rate"), F.lit(0.0))
-        draw = F.pmod(F.xxhash64(F.lit(self.seed), F.col("d.doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        copies = F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)
-        return d.join(r, same, "left").select("d.doc_id", "d.source", "d.tokens", copies.cast("int").alias("copies"))
+        """How many times each document occurs; 0 for documents out of the mixture.
+
+        Systematic sampling: the documents of a source are put in order of their tokens,
+        their cells' rates are summed up, and one occurs as often as its rate crosses a
+        whole number: the tokens of a source are off by about one document."""
+        rated = self.sizes.join(small(self.rates), CELLS, "left").withColumn("rate", F.coalesce("rate", F.lit(0)))
+        drawn = rated.where("rate > 0").withColumn("_draw", F.xxhash64(F.lit(self.seed), "doc_id"))
+        order = ["source", "tokens", "lang", "topic", "_draw", "doc_id"]
+        summed = before_in_order(drawn, order, "rate", "_sum")
+        whole = lambda x: F.floor((x + UNIT // 2) / F.lit(UNIT))
+        occurs = whole(F.col("_sum") + F.col("rate")) - whole(F.col("_sum"))
+        none = rated.where("rate <= 0").select("doc_id", "source", "tokens", F.lit(0).alias("copies"))
+        return summed.select("doc_id", "source", "tokens", occurs.cast("int").alias("copies")).unionByName(none)
 
     def targets_report(self) -> DataFrame:
-        """source, own_tokens, most_tokens (with repeats), wanted_tokens, short."""
-        own = self.cells.groupBy("source").agg(F.sum("tokens").alias("own_tokens"))
+        """source, own_tokens, most_tokens (with repeats), wanted_tokens, raked_tokens, short.
+
+        short: raking filled all cells of the source to their most and, by whole numbers, that isn't enough."""
+        own = self.sizes.groupBy("source").agg(F.sum("tokens").alias("own_tokens"))
         halves = F.lit(round(1000 / self.share))
+        full = F.col("raked_tokens") >= F.col("most_tokens") * (1 - 1e-6)
         return (
-            self.targets.join(own, "source", "left")
+            self.targets.join(own, "source", "left").join(self.raked, "source", "left")
             .withColumn("own_tokens", F.coalesce("own_tokens", F.lit(0)))
             .withColumn("most_tokens", F.col("own_tokens") * F.col("repeats"))
             .withColumn("wanted_tokens", F.lit(self.share * self.total) * F.col("permille") / F.lit(1000.0))
-            .withColumn("short", F.col("most_tokens") * halves < F.lit(self.total) * F.col("permille"))
-        )
+            .withColumn("short", full & (F.col("most_tokens") * halves < F.lit(self.total) * F.col("permille")))
+        )
 
     def report(self) -> DataFrame:
         """targets_report with the tokens and the permille reached by the drawn copies."""
         drawn = self.copies().where("copies > 0").groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("reached_tokens"))
-        reached = F.coalesce("reached_tokens", F.lit(0))
-        return (
-            self.targets_report()
-            .join(drawn, "source", "left")
-            .withColumn("reached_tokens", reached)
-            .withColumn(
-                "reached_permille",
-                F.when(F.sum("reached_tokens").over(Window.partitionBy(F.lit(0))) > 0, F.col("reached_tokens") * 1000 / F.sum("reached_tokens").over(Window.partitionBy(F.lit(0)))).otherwise(0.0),
-            )
-        )
+        listed = self.targets_report().join(drawn, "source", "left").withColumn("reached_tokens", F.coalesce("reached_tokens", F.lit(0)))
+        reached = with_totals(listed, _all=F.sum("reached_tokens"))
+        permille = F.when(F.col("_all") > 0, F.col("reached_tokens") * 1000 / F.col("_all")).otherwise(0.0)
+        return reached.withColumn("reached_permille", permille).drop("_all")
