@@ -1,25 +1,33 @@
 """Problem 10: text decoded with the wrong character encoding.
 
 Method: expectation-maximisation with latent encoding chains. A chain says in
-which encoding bytes were written and in which they were read (once or twice);
+which encoding bytes were written and in which they were read (once or more);
 undoing it gives a candidate for the original of a word. Each occurrence of a
 word has a latent chain (or none); the weights of the chains are pooled per
 source, and one language model of clean text is pooled over all records. E: the
 posterior of each chain for each suspicious word. M: chain weights per source,
-and the language model from the words as they read clean. Records are then
-repaired by posterior: the evidence of a record's words is summed per chain.
-
-What is held at once has a fixed size: counts of words, trigrams and bigrams in
-hashed tables (``BUCKETS``), character counts (at most one per code point) and
-chain weights of at most ``MAX_SOURCES`` sources (the rest share the overall
-weights). So both EM and repair are passes over tasks' own rows with these
-tables broadcast; the corpus is read twice, the dictionary of its words once an
+and the language model from the words as they read clean.
+
+Records are then repaired by posterior. A record has a latent chain or none, and
+under a chain each of the words it would change is damaged with a latent share
+(``SHARES``), all of them or only a stretch: the odds are the chain's weight times
+the mixture over the shares of the product of (1 - share + share x likelihood
+ratio) over these words, those that speak against the chain included. The sum of
+the ratios that speak for it bounds this from above, so only records that pass
+that bound are worked out in full.
+
+What is held at once: counts of words, trigrams and bigrams in hashed tables, four
+to eight buckets a word of the dictionary (``buckets_for``; beyond 4 million words
+counts of rare words blur, as in any count-min sketch, and the trigrams decide),
+character counts (at most one per code point) and 16 bytes a source for its
+weights. So both EM and repair are passes over tasks' own rows with these
+broadcast; the corpus is read twice, the suspicious words of its dictionary once an
 iteration, and nothing but sums is shuffled.
 
 Only words with a suspicious character are tested: one for which some chain
 gives a more frequent character, or that begins a multi-byte sequence in some
 reading. A candidate is scored only if it raises the likelihood of the single
-characters.
+characters. In words beyond ``LONG`` characters repeated trigrams count once.
 
 U+FFFD and C1 control characters that no chain explains mark damage that can't
 be undone; such records are found and come out with status 'lost'.
@@ -33,7 +41,6 @@ from __future__ import annotations
 import functools
 import heapq
 import math
-import pickle
 import re
 import zlib
 from collections import Counter
@@ -41,7 +48,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.common import cut, normalised
@@ -60,22 +68,24 @@ SINGLE_BYTE = [
     ("cp1250", "mac_latin2"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp1252", "cp437"), ("cp1250", "mac_roman"),
 ]
 
-BUCKETS = 1 << 20
-MAX_SOURCES = 1000
+#: Most sources whose weights are held (16 bytes each); more are an error.
+MAX_SOURCES = 20_000_000
+#: Sources whose counts of one word meet in a row of the expectation step.
+SOURCES_A_ROW = 1000
+#: Shares of a record's words that are damaged, alike before anything is known, and the words of a record that its chain's weight stands for.
+SHARES, RECORD_WORDS = (1 / 50, 1 / 4, 0.999), 50
+#: Length of words in which repeated trigrams count once.
+LONG = 64
 #: Characters that separate words (a no-break space does not: it is half of some sequences).
 SPACES = " \n\r\t"
 PUNCTUATION = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~„“”‘’–—…•«»"
 LOST = "lost"
-#: Sources beyond the named ones share these weights.
-OTHER = "\x00other"
 #: Words that are odd whatever their letters: capitals after small letters, two scripts; each costs ODD.
 MIXED_CASE = re.compile("[a-zß-öø-ÿа-џšžčćđłńśźżąęěřůňťď][A-ZÀ-ÖØ-ÞЀ-ЯŠŽČĆĐŁŃŚŹŻĄĘĚŘŮŇŤĎ]")
 #: Those of them that are worth a test: a capital beyond ASCII.
 SMALL = "abcdefghijklmnopqrstuvwxyzšžčćđłńśźżąęěřůňťďáéíóúý"
 CAPITAL = "ŠŽČĆĐŁŃŚŹŻĄĘĚŘŮŇŤĎÁÉÍÓÚÝ"
 LATIN, CYRILLIC, ODD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]"), re.compile("[Ѐ-ԯ]"), 20.0
-#: Most words whose evidence is worked out before the repair and handed to its tasks.
-READY_WORDS = 20_000
 #: Beginnings of a word kept while lone lead characters are filled in; one character has at most 34 completions.
 BEAM = 40
 #: Start of the weight of each chain.
@@ -139,8 +149,64 @@ def chains() -> tuple[list[Utf8Chain], list[TableChain]]:
     return [Utf8Chain(c) for c in UTF8_READ_AS], [TableChain(*p) for p in SINGLE_BYTE]
 
 
-def bucket(s: str, seed: int = 0) -> int:
-    return zlib.crc32(s.encode("utf-8", "surrogatepass"), seed) % BUCKETS
+def buckets_for(words: int) -> int:
+    """Buckets of a table: a power of two of at least four a word, 2^18 to 2^24."""
+    return 1 << max(18, min(24, math.ceil(math.log2(max(words, 1) * 4))))
+
+
+def code_of(s: str, seed: int = 0) -> int:
+    """Its rest by the number of buckets is a key's bucket."""
+    return zlib.crc32(s.encode("utf-8", "surrogatepass"), seed)
+
+
+def trigrams(word: str) -> list[str]:
+    """With marks for beginning and end; beyond LONG characters each once."""
+    s = f"\x02\x02{word.lower()}\x03"
+    out = [s[i - 2 : i + 1] for i in range(2, len(s))]
+    return out if len(out) <= LONG else list(dict.fromkeys(out))
+
+
+class Counts:
+    """Sums of one task: of words, trigrams and texts. Bigrams follow from the trigrams they begin."""
+
+    def __init__(self) -> None:
+        self.words: Counter = Counter()
+        self.held: Counter = Counter()  # words kept apart from the others
+        self.threes: Counter = Counter()
+        self.text: Counter = Counter()
+
+    def add(self, word: str, n: float) -> None:
+        self.words[core(word)] += n
+        threes = self.threes
+        for t in trigrams(word):
+            threes[t] += n
+
+    def columns(self, buckets: int) -> tuple[list[int | None], list[str | None], list[float]]:
+        """Bucket (table x buckets + bucket), text and value of every sum."""
+        twos: Counter = Counter()
+        for t, n in self.threes.items():
+            twos[t[:2]] += n
+        at: Counter = Counter()
+        for table, counts, seed in ((0, self.words, 0), (1, self.words, 1), (2, self.threes, 0), (3, twos, 0), (4, self.held, 0), (5, self.held, 1)):
+            for key, n in counts.items():
+                at[table * buckets + code_of(key, seed) % buckets] += n
+        return [*at, *[None] * len(self.text)], [*[None] * len(at), *self.text], [*at.values(), *self.text.values()]
+
+
+class Weights:
+    """Weights of the chains: overall, and per source (a hash of its name) drawn to those by 1000 words' worth."""
+
+    def __init__(self, overall: dict[str, float], ids: np.ndarray, totals: np.ndarray, own: dict[tuple[int, str], float]) -> None:
+        self.overall, self.own = overall, own
+        order = np.argsort(ids)
+        self.ids, self.totals = ids[order], totals[order]
+
+    def of(self, source: int, chain: str) -> float:
+        shared = self.overall.get(chain, 1e-9)
+        k = int(np.searchsorted(self.ids, source))
+        if k == len(self.ids) or self.ids[k] != source:
+            return shared
+        return (self.own.get((source, chain), 0.0) + 1000 * shared) / (float(self.totals[k]) + 1000)
 
 
 def core(word: str) -> str:
@@ -161,20 +227,20 @@ def base_chain(chain: str) -> str:
 class Model:
     """Language model of clean text (hashed counts) and chain weights."""
 
-    def __init__(self, chars: dict[str, float], tables: np.ndarray, weights: dict[str | None, dict[str, float]]) -> None:
+    def __init__(self, chars: dict[str, float], tables: np.ndarray, weights: Weights | None = None) -> None:
         self.counts = chars
         self.total_chars = sum(chars.values()) + 1.0
         self.chars = {c: math.log((n + 0.01) / self.total_chars) for c, n in chars.items()}
         self.no_char = math.log(0.01 / self.total_chars)
         self.words, self.again, self.three, self.two = tables
+        self.buckets = len(self.words)
         self.total_words = float(self.words.sum()) + 1.0
         self.weights = weights
         self.known: dict[str, tuple[float, float, float]] = {}
-        self.ready: dict[str, dict] = {}
         utf8, singles = chains()
         if weights:  # chains without weight need no test
-            self.used = {base_chain(c) for c in weights[OTHER]}
-            utf8, singles = ([c for c in cs if c.name in self.used] for cs in (utf8, singles))
+            used = {base_chain(c) for c in weights.overall}
+            utf8, singles = ([c for c in cs if c.name in used] for cs in (utf8, singles))
         self.utf8 = utf8
         # what one character gains under a table, and the characters worth a test
         self.gain = []
@@ -204,22 +270,20 @@ class Model:
         """What a broadcast holds: counts that aren't 0, compressed."""
         tables = np.stack([self.words, self.again, self.three, self.two]).ravel()
         at = np.flatnonzero(tables).astype(np.int32)
-        ready = zlib.compress(pickle.dumps(self.ready), 1)
-        return self.counts, zlib.compress(at.tobytes(), 1), zlib.compress(tables[at].tobytes(), 1), self.weights, ready
+        return self.counts, self.buckets, zlib.compress(at.tobytes(), 1), zlib.compress(tables[at].tobytes(), 1), self.weights
 
     def __setstate__(self, state: tuple) -> None:
-        chars, at, values, weights, ready = state
-        tables = np.zeros(4 * BUCKETS, np.float32)
+        chars, buckets, at, values, weights = state
+        tables = np.zeros(4 * buckets, np.float32)
         tables[np.frombuffer(zlib.decompress(at), np.int32)] = np.frombuffer(zlib.decompress(values), np.float32)
-        self.__init__(chars, tables.reshape(4, BUCKETS), weights)
-        self.ready = pickle.loads(zlib.decompress(ready))
+        self.__init__(chars, tables.reshape(4, buckets), weights)
 
     def char(self, c: str) -> float:
         return self.chars.get(c.lower(), self.no_char) if c > "\x7f" else -3.5
 
     def count(self, key: str) -> float:
         """Of a word; the smaller of two hashed counts, as others may share its buckets."""
-        return min(float(self.words[bucket(key)]), float(self.again[bucket(key, 1)]))
+        return min(float(self.words[code_of(key) % self.buckets]), float(self.again[code_of(key, 1) % self.buckets]))
 
     def rarest(self, chars: set[str]) -> float:
         return min((self.char(c) for c in chars if ord(c) > 127), default=0.0)
@@ -233,17 +297,16 @@ class Model:
         """Of a trigram, of its beginning, and what its last character counts besides."""
         if len(self.known) > 200_000:
             self.known.clear()
-        found = self.known[t] = (float(self.three[bucket(t)]), float(self.two[bucket(t[:2])]), 2.0 * math.exp(self.char(t[-1])))
+        found = self.known[t] = (float(self.three[code_of(t) % self.buckets]), float(self.two[code_of(t[:2]) % self.buckets]), 2.0 * math.exp(self.char(t[-1])))
         return found
 
     def log_p(self, word: str, own: float) -> float:
         """Log probability of a word; ``own`` of its counts are its own and left out."""
         key = core(word)
         whole = max(self.count(key) - own, 0.0) / self.total_words
-        s, out, product = f"\x02\x02{word.lower()}\x03", 0.0, 1.0
+        out, product = 0.0, 1.0
         known = self.known
-        for i in range(2, len(s)):
-            t = s[i - 2 : i + 1]
+        for t in trigrams(word):
             found = known.get(t)
             if found is None:
                 found = self._counts(t)
@@ -293,15 +356,11 @@ class Model:
                 continue
             r = chain.undo(word)
             if r != word:
-                for again in (1, 2):
-                    twice = {c.undo(r) for c in utf8 if not c.leads.isdisjoint(r)}
-                    twice = sorted(t for t in twice if len(t) < len(r))
-                    if not twice:
-                        break
-                    r = twice[0] if len(twice) == 1 else max(twice, key=lambda w: self.log_p(w, 0.0))
-                    out[f"{chain.name}*{again + 1}"] = r
-                else:
-                    again = 2
+                again = 1
+                # every undoing makes the word shorter
+                while twice := sorted(t for t in {c.undo(r) for c in utf8 if not c.leads.isdisjoint(r)} if len(t) < len(r)):
+                    r, again = twice[0] if len(twice) == 1 else max(twice, key=lambda w: self.log_p(w, 0.0)), again + 1
+                    out[f"{chain.name}*{again}"] = r
                 out.setdefault(chain.name, chain.undo(word))
             if chain.lone.search(r) and self.char(chain.lone.search(r)[0]) < math.log(1e-3):
                 d = self._restore_dropped(chain, r)
@@ -351,8 +410,6 @@ class Model:
         ``found``: the word's candidates, if they have been worked out before."""
         if found is None:
             found = self.candidates(word)
-        elif self.weights:
-            found = {c: r for c, r in found.items() if base_chain(c) in self.used}
         clean = self.log_p(word, own) if found else 0.0
         scored = {r: self.log_p(r, 0.0) - clean for r in set(found.values())}
         out = {c: (scored[r], r) for c, r in found.items()}
@@ -363,24 +420,34 @@ class Model:
             out[LOST] = (25.0 if "�" in word else 8.0 if best <= 0 else 0.0, word)
         return out
 
-    def positive(self, word: str, found: dict[str, str] | None = None) -> dict[str, tuple[float, str]]:
-        """The evidence that speaks for a chain."""
-        if word.isascii() or not self.suspicious.search(word):
-            return {}
-        return {c: x for c, x in self.evidence(word, found=found).items() if x[0] > 0}
+    def tested(self, word: str) -> dict[str, tuple[float, str]]:
+        """The evidence of a word of a text; {} where there is nothing to test."""
+        return {} if word.isascii() or not self.suspicious.search(word) else self.evidence(word)
+
+    def weight(self, source: int, chain: str) -> float:
+        return self.weights.of(source, chain) if self.weights else PRIOR
+
+    def posterior(self, weight: float, ratios: list[float]) -> float:
+        """Log odds that a chain of this weight has damaged a record, from the ratios of all words that it would change."""
+        shares = []
+        for share in SHARES:
+            low = math.log1p(-share)
+            shares.append(sum(x + math.log(share) if x > 30 else math.log1p(share * math.expm1(x)) if x > -30 else low for x in ratios))
+        top = max(shares)
+        prior = min(0.5, weight * RECORD_WORDS)
+        return math.log(prior / (1 - prior)) + top + math.log(sum(math.exp(x - top) for x in shares) / len(shares))
+
 
-    def weight(self, source: str | None, chain: str) -> float:
-        if not self.weights:
-            return PRIOR
-        own = self.weights.get(source) or self.weights[OTHER]
-        return own.get(chain, 1e-9)
+def source_id(source: str) -> Column:
+    """A number for the normalised source; NULL is a source."""
+    return F.xxhash64(F.coalesce(normalised(source), F.lit("\x01")))
 
 
 def dictionary(documents: DataFrame, text: str, source: str) -> DataFrame:
-    """word, source, n: in how many records each word beyond ASCII occurs."""
+    """word, source, n: in how many records of a source (a number) each word beyond ASCII occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str | None, Counter] = {}
+        counts: dict[int, Counter] = {}
         for batch in batches:
             for s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if t and not t.isascii():
@@ -393,105 +460,90 @@ def dictionary(documents: DataFrame, text: str, source: str) -> DataFrame:
         rows = [(w, s, n) for s, c in counts.items() for w, n in c.items()]
         counts.clear()
         columns = zip(*rows) if rows else ([], [], [])
-        kinds = (pa.string(), pa.string(), pa.int64())
+        kinds = (pa.string(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["word", "source", "n"])
 
-    rows = documents.select(source, text).mapInArrow(run, "word string, source string, n bigint")
+    rows = documents.select(source, text).mapInArrow(run, "word string, source bigint, n bigint")
     return rows.groupBy("word", "source").agg(F.sum("n").alias("n"))
 
 
-def _sums(rows: DataFrame, make) -> dict:
-    """Sums of ``make``'s (key, value) pairs over all rows: int keys are buckets, others text."""
+def _sums(rows: DataFrame, make, buckets: int = 1) -> tuple[np.ndarray, np.ndarray, dict[str, float]]:
+    """Sums of what ``make`` adds to the Counts of its task, over all rows: buckets with their values, and texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: Counter = Counter()
+        sums = Counts()
         for batch in batches:
             make(batch.to_pydict(), sums)
-        number = [k if isinstance(k, int) else None for k in sums]
-        text = [None if isinstance(k, int) else k for k in sums]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(number, pa.int64()), pa.array(text, pa.string()), pa.array(list(sums.values()), pa.float64())], names=["i", "k", "v"]
-        )
+        kinds = (pa.int64(), pa.string(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(sums.columns(buckets), kinds)], names=["i", "k", "v"])
 
-    got = rows.mapInArrow(run, "i bigint, k string, v double").groupBy("i", "k").agg(F.sum("v").alias("v")).toArrow().to_pydict()
-    return {k if i is None else i: v for i, k, v in zip(got["i"], got["k"], got["v"])}
+    got = rows.mapInArrow(run, "i bigint, k string, v double").groupBy("i", "k").agg(F.sum("v").alias("v")).toArrow()
+    place = got.column("i").is_valid()
+    counts, texts = got.filter(place), got.filter(pc.invert(place))
+    return counts.column("i").to_numpy(), counts.column("v").to_numpy(), dict(zip(texts.column("k").to_pylist(), texts.column("v").to_pylist()))
 
 
 def count_chars(words: DataFrame) -> dict[str, float]:
-    def make(rows: dict, sums: Counter) -> None:
+    def make(rows: dict, sums: Counts) -> None:
         for w, n in zip(rows["word"], rows["n"]):
             for c in w.lower():
                 if c > "\x7f":
-                    sums[c] += n
+                    sums.text[c] += n
 
-    return _sums(words, make)
+    return _sums(words, make)[2]
 
 
-def add_whole(sums: Counter, word: str, n: float, table: int = 0) -> None:
-    key = core(word)
-    sums[table * BUCKETS + bucket(key)] += n
-    sums[(table + 1) * BUCKETS + bucket(key, 1)] += n
-
-
-def add_word(sums: Counter, word: str, n: float) -> None:
-    """Counts of a word, its trigrams and bigrams; keys are table x BUCKETS + bucket."""
-    add_whole(sums, word, n)
-    s = f"\x02\x02{word.lower()}\x03"
-    for i in range(2, len(s)):
-        sums[2 * BUCKETS + bucket(s[i - 2 : i + 1])] += n
-        sums[3 * BUCKETS + bucket(s[i - 2 : i])] += n
-
-
-def to_tables(*sums: dict) -> np.ndarray:
-    out = np.zeros(4 * BUCKETS, np.float32)
-    for part in sums:
-        own = {k: v for k, v in part.items() if isinstance(k, int) and k < 4 * BUCKETS}
-        out[np.fromiter(own.keys(), np.int64, len(own))] += np.fromiter(own.values(), np.float32, len(own))
-    return out.reshape(4, BUCKETS)
+def to_tables(buckets: int, at: np.ndarray, values: np.ndarray, first: int = 0) -> np.ndarray:
+    """Four tables of the buckets from the table number ``first`` on."""
+    out = np.zeros(4 * buckets, np.float32)
+    own = (at >= first * buckets) & (at < (first + 4) * buckets)
+    out[at[own] - first * buckets] = values[own]
+    return out.reshape(4, buckets)
 
 
 def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds: int = 2) -> Model:
     """The model of a corpus. ``source``: the column chain weights are pooled by."""
     spark = documents.sparkSession
-    words = cut(dictionary(documents.select(normalised(source).alias("_s"), F.col(text).alias("_t")), "_t", "_s"))
-    totals = {r["source"]: r["n"] for r in words.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(MAX_SOURCES).collect()}
-    named = F.when(F.col("source").isNull() | F.col("source").isin(*[s for s in totals if s is not None]), F.concat(F.lit("+"), F.coalesce("source", F.lit("\x01"))))
-    per_source = words.groupBy("word", F.coalesce(named, F.lit("")).alias("source")).agg(F.sum("n").alias("n"))
-    # one row per word, with its count in each named source (at most MAX_SOURCES of them) and in all others
-    per_word = cut(per_source.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list("source").alias("sources"), F.collect_list("n").alias("counts")))
-    chars = count_chars(per_word.select("word", "n"))
-
-    def passed(model: Model, rows: DataFrame, make) -> dict:
+    words = cut(dictionary(documents.select(source_id(source).alias("_s"), F.col(text).alias("_t")), "_t", "_s"))
+    per_source = words.groupBy("source").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).toArrow()
+    if per_source.num_rows > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources: pool them before")
+    ids, totals = per_source.column("source").to_numpy(), per_source.column("n").to_numpy().astype(np.float32)
+    per_word = cut(words.groupBy("word").agg(F.sum("n").alias("n")))
+    chars = count_chars(per_word)
+    buckets = buckets_for(per_word.count())
+
+    def passed(model: Model, rows: DataFrame, make) -> tuple:
         """Sums of make(model, rows, sums) with the model broadcast for this pass only."""
         box = spark.sparkContext.broadcast(model)
-        out = _sums(rows, lambda r, sums: make(box.value, r, sums))
+        out = _sums(rows, lambda r, sums: make(box.value, r, sums), buckets)
         box.destroy()
         return out
 
-    def split(m: Model, rows: dict, sums: Counter) -> None:
+    def split(m: Model, rows: dict, sums: Counts) -> None:
         for w, n in zip(rows["word"], rows["n"]):
             if m.suspicious.search(w):
-                add_whole(sums, w, n, table=4)
+                sums.held[core(w)] += n
             else:
-                add_word(sums, w, n)
+                sums.add(w, n)
 
-    def start(m: Model, rows: dict, sums: Counter) -> None:
+    def start(m: Model, rows: dict, sums: Counts) -> None:
         # a suspicious word is clean to begin with if no original is more frequent and none is multi-byte
         for w, n, names, originals in zip(*(rows[c] for c in ("word", "n", "chains", "originals"))):
             likely = max((m.count(core(r)) for r in set(originals)), default=0.0)
             multi = any(c.startswith("utf-8") and not c.endswith("-") for c in names)
             if "�" not in w and not multi and likely < n:
-                add_word(sums, w, n)
+                sums.add(w, n)
 
-    def expect(m: Model, rows: dict, sums: Counter) -> None:
-        for w, n, sources, counts, names, originals in zip(*(rows[c] for c in ("word", "n", "sources", "counts", "chains", "originals"))):
+    def expect(m: Model, rows: dict, sums: Counts) -> None:
+        for w, places, names, originals in zip(*(rows[c] for c in ("word", "places", "chains", "originals"))):
             found = m.evidence(w, found=dict(zip(names, originals)))
             if not found:
-                add_word(sums, w, n)
+                sums.add(w, sum(p["n"] for p in places))
                 continue
             clean_n, fixed = 0.0, Counter()
-            for s, k in zip(sources, counts):
-                own = None if s == "+\x01" else s[1:] if s else OTHER
+            for p in places:
+                own, k = p["source"], p["n"]
                 scores = {c: math.log(m.weight(own, c)) + e for c, (e, _) in found.items()}
                 top = max(0.0, *scores.values())
                 mass = {c: math.exp(x - top) for c, x in scores.items()}
@@ -499,18 +551,20 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
                 clean_n += k * math.exp(-top) / whole
                 for c, x in mass.items():
                     if x / whole > 1e-3:
-                        sums[f"{c}\x00{s}"] += k * x / whole
+                        sums.text[f"{c}\x00{own}"] += k * x / whole
                         fixed[c] += k * x / whole
             if clean_n > 1e-3:
-                add_word(sums, w, clean_n)
+                sums.add(w, clean_n)
             for c, k in fixed.items():
                 if c != LOST:
-                    add_word(sums, found[c][1], k)
-
-    first = Model(chars, np.zeros((4, BUCKETS), np.float32), {})
-    base = passed(first, per_word.select("word", "n"), split)
-    every = to_tables(base, {k - 4 * BUCKETS: v for k, v in base.items() if k >= 4 * BUCKETS})
-    everything = Model(chars, every, {})
+                    sums.add(found[c][1], k)
+
+    first = Model(chars, np.zeros((4, buckets), np.float32))
+    at, values, _ = passed(first, per_word, split)
+    base = to_tables(buckets, at, values)
+    every = base.copy()
+    every[:2] += to_tables(buckets, at, values, 4)[:2]
+    everything = Model(chars, every)
     box = spark.sparkContext.broadcast(everything)
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -521,43 +575,27 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "chains", "originals"])
 
     # the candidates of a suspicious word don't change from round to round
-    rows = per_word.where(F.col("word").rlike(first.java_pattern)).select("word", "n", "sources", "counts")
-    suspects = cut(rows.mapInArrow(propose, "word string, n bigint, sources array<string>, counts array<bigint>, chains array<string>, originals array<string>"))
+    rows = per_word.where(F.col("word").rlike(first.java_pattern))
+    suspects = cut(rows.mapInArrow(propose, "word string, n bigint, chains array<string>, originals array<string>"))
     box.destroy()
-    model = Model(chars, to_tables(base, passed(everything, suspects.select("word", "n", "chains", "originals"), start)), {})
+    # the counts of a word in its sources, in as many rows as there are thousands of sources
+    row = F.pmod("source", F.lit(len(ids) // SOURCES_A_ROW + 1))
+    places = words.join(suspects.select("word"), "word").groupBy("word", row.alias("_row")).agg(F.collect_list(F.struct("source", "n")).alias("places"))
+    spread = cut(places.join(suspects.drop("n"), "word").select("word", "places", "chains", "originals"))
+    at, values, _ = passed(everything, suspects, start)
+    model = Model(chars, base + to_tables(buckets, at, values))
+    all_n = float(totals.sum()) + 1.0
     for _ in range(rounds):
-        sums = passed(model, suspects, expect)
+        at, values, masses = passed(model, spread, expect)
         overall: Counter = Counter()
-        by_source: dict[str | None, Counter] = {s: Counter() for s in totals}
-        for k, v in sums.items():
-            if isinstance(k, str):
-                c, _, s = k.partition("\x00")
-                overall[c] += v
-                if s:
-                    by_source[None if s == "+\x01" else s[1:]][c] += v
-        all_n = sum(totals.values()) + 1.0
+        own: dict[tuple[int, str], float] = {}
+        for key, v in masses.items():
+            c, _, s = key.partition("\x00")
+            overall[c] += v
+            own[int(s), c] = v
         # a chain that explains no word of the corpus keeps no weight
-        weights: dict[str | None, dict[str, float]] = {OTHER: {c: v / all_n for c, v in overall.items() if v > 0.5 or c == LOST}}
-        for s, own in by_source.items():
-            # a source's weights are drawn to the overall ones by 1000 words' worth
-            weights[s] = {c: (own[c] + 1000 * w) / (totals[s] + 1000) for c, w in weights[OTHER].items()}
-        model = Model(chars, to_tables(base, sums), weights)
-    # the evidence of the words met most often, so that not every task of the repair works it out again
-    box = spark.sparkContext.broadcast(model)
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = box.value
-        for batch in batches:
-            d = batch.to_pydict()
-            rows = [(w, n, pickle.dumps(m.positive(w, dict(zip(c, o))))) for w, n, c, o in zip(*(d[k] for k in ("word", "n", "chains", "originals")))]
-            columns = zip(*rows) if rows else ([], [], [])
-            kinds = (pa.string(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["word", "n", "e"])
-
-    often = suspects.where("n > 1").select("word", "n", "chains", "originals").mapInArrow(judge, "word string, n bigint, e binary")
-    got = often.orderBy(F.desc("n"), "word").limit(READY_WORDS).toArrow().to_pydict()
-    model.ready = {w: pickle.loads(e) for w, e in zip(got["word"], got["e"])}
-    box.destroy()
+        kept = {c: v / all_n for c, v in overall.items() if v > 0.5 or c == LOST}
+        model = Model(chars, base + to_tables(buckets, at, values), Weights(kept, ids, totals, own))
     return model
 
 
@@ -566,12 +604,13 @@ def repair(documents: DataFrame, model: Model, item: str = "doc_id", text: str =
 
     One pass, no shuffle. 'partly': something is lost besides what was restored."""
     box = documents.sparkSession.sparkContext.broadcast(model)
-    rows = documents.select(item, normalised(source).alias("_s"), F.col(text).alias("_t"))
+    rows = documents.select(item, source_id(source).alias("_s"), F.col(text).alias("_t"))
     kind = rows.schema[item].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = box.value
-        cache: dict[str, dict] = dict(m.ready)
+        tested: dict[str, dict] = {}  # all evidence of the words met, and what of it speaks for a chain
+        positive: dict[str, dict] = {}
         weigh: dict[tuple, float] = {}
         lone = functools.lru_cache(10_000)(m.lone)
         for batch in batches:
@@ -580,24 +619,33 @@ def repair(documents: DataFrame, model: Model, item: str = "doc_id", text: str =
                 if not t or t.isascii():
                     out.append(("clean", None, 0, t))
                     continue
+                words = {w for w in words_of(t) if not w.isascii()}
                 found: dict[str, dict] = {}
-                for w in set(words_of(t)):
-                    e = cache.get(w)
+                for w in words:
+                    e = positive.get(w)
                     if e is None:
-                        if len(cache) > 500_000:
-                            cache = dict(m.ready)
-                        e = cache[w] = m.positive(w)
+                        if len(positive) > 300_000:
+                            positive.clear()
+                            tested.clear()
+                        every = m.tested(w)
+                        e = positive[w] = {c: x for c, x in every.items() if x[0] > 0}
+                        if every:
+                            tested[w] = every
                     if e:
                         found[w] = e
-                score: Counter = Counter()
+                bound: Counter = Counter()
                 for e in found.values():
                     for c, (x, _) in e.items():
-                        score[c] += x
-                for c in score:
+                        bound[c] += x
+                sure: dict[str, float] = {}
+                for c, x in bound.items():
                     if (s, c) not in weigh:
-                        weigh[s, c] = math.log(m.weight(s, c))
-                    score[c] += weigh[s, c]
-                sure = {c: x for c, x in score.items() if x > 0}
+                        weigh[s, c] = m.weight(s, c)
+                    if math.log(weigh[s, c] * 2 * RECORD_WORDS) + x > 0:  # what speaks against the chain can only lower this
+                        ratios = [tested[w][c][0] for w in words if c in tested.get(w, ())]
+                        odds = m.posterior(weigh[s, c], ratios)
+                        if odds > 0:
+                            sure[c] = odds
                 if not sure:
                     out.append(("clean", None, 0, t))
                     continue
@@ -608,7 +656,7 @@ def repair(documents: DataFrame, model: Model, item: str = "doc_id", text: str =
                         c, (_, changed[w]) = max(ways.items(), key=lambda x: (sure[x[0]], x[0]))
                         used[c] += 1
                 if used:
-                    for w in set(words_of(t)) - changed.keys():
+                    for w in words - changed.keys():
                         # the more words a chain has changed, the likelier it has hit this one
                         ways = {c: r for c, (x, r) in lone(w).items() if used[c] and x + math.log(used[c]) > 0}
                         if ways:
