@@ -59,3 +59,25 @@ def test_cut_gives_the_same_rows_without_lineage(spark):
     out = common.cut(df)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
     assert "Range" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_join_is_the_join(spark, monkeypatch):
+    left = spark.range(400).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("k"), "id", F.lit(1).alias("_salt"))
+    right = spark.createDataFrame([("hot", 1), ("6", 2), ("x", 3)], "k string, v int")
+    want = sorted(map(repr, left.join(right, "k", "left").collect()))
+    assert sorted(map(repr, common.spread_join(left, right, ["k"]).collect())) == want
+    monkeypatch.setattr(common, "small", lambda df: df)
+    assert sorted(map(repr, common.spread_join(left, right, ["k"]).collect())) == want
+
+
+def test_picked_columns_are_all_that_is_read(spark, tmp_path):
+    spark.range(5).selectExpr("cast(id as string) as instance_id", "id as ingested_at", "struct(id as a, struct(id as x, id as y) as i) as m", "id as z").write.parquet(str(tmp_path / "t"))
+    out = common.current(spark.read.parquet(str(tmp_path / "t")), payload=["m.i.y"])
+    assert out.schema.simpleString() == "struct<instance_id:string,ingested_at:bigint,m:struct<i:struct<y:bigint>>>"
+    plan = out.select("m.i.y")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<instance_id:string,ingested_at:bigint,m:struct<i:struct<y:bigint>>>" in plan
+
+
+def test_tables_can_be_discarded(spark):
+    out = common.cut(spark.range(3))
+    assert out.count() == 3 and common.discard_tables(spark) >= 1 and common.discard_tables(spark) == 0

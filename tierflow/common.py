@@ -186,6 +186,20 @@ def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", salts: int = 16) -> DataFrame:
+    """``left`` joined to ``right``, which has one row per key; a hot key of ``left`` (NULL, too) is spread.
+
+    A small right side (counted) is broadcast. Otherwise each of its rows comes once
+    for every salt, and a row of ``left`` goes to the salt of its hash."""
+    held = small(right)
+    if held is not right:
+        return left.join(held, list(keys), how)
+    (salt,) = fresh(left, "_salt")
+    own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    every = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn(salt, own).join(every, [*keys, salt], how).drop(salt)
+
+
 def bucketed_rank(df: DataFrame, group: Sequence[str], draw: str, rank: str = "rank", buckets: int = 4096) -> DataFrame:
     """``rank``: 1, 2, ... by (draw, all columns) within ``group``, exact for groups of any size.
 
