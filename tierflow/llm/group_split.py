@@ -2,8 +2,8 @@
 
 Method: distributed union-find. Each task builds a local forest over its links
 and keeps only one link per node to its root; the forests are merged
-hierarchically, fewer tasks each time, as long as a task's share stays below
-``FOREST_LINKS``. If the whole forest is larger, the rest is resolved by
+hierarchically, fewer tasks each time, as long as the fullest task's share stays
+below ``FOREST_LINKS``. Beyond that, the rest is resolved by
 alternating large-star and small-star steps, which never hold a component in
 one task. Groups are then assigned greedily, largest first, each to the split
 furthest below its target. Groups of equal size are interchangeable, so the
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.common import MISSING, bucketed_rank, cut, is_missing, nfc_all
+from tierflow.common import MISSING, bucketed_rank, cut, is_missing, nfc_all, spread_join
 
 #: Most links that one task merges.
 FOREST_LINKS = 1_000_000
@@ -63,7 +63,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     else:
         both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    joined = both.join(least, "u")
+    joined = spread_join(both, least, ["u"], "inner")  # a star may hold a third of all links
     if large:
         out = joined.where("v > u").select(F.col("v").alias("node"), F.col("m").alias("root"))
     else:
@@ -82,9 +82,12 @@ def components(links: DataFrame, forest_links: int = FOREST_LINKS) -> DataFrame:
     size = forest.count()
     while tasks > 1 and size:
         fewer = max(1, tasks // 8)
-        if size > forest_links * fewer:
+        # trees of one root meet in one task: the fullest one counts, not the sum
+        goes_to = F.xxhash64("root")
+        fullest = forest.groupBy(F.pmod(F.hash(goes_to), F.lit(fewer)).alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+        if fullest.agg(F.max("_n")).first()[0] > forest_links:
             break
-        merged = forest.repartition(fewer, F.xxhash64("root")) if fewer > 1 else forest.coalesce(1)
+        merged = forest.repartition(fewer, goes_to) if fewer > 1 else forest.coalesce(1)
         forest = cut(merged.mapInArrow(_forest, schema))
         tasks, size = fewer, forest.count()
     if tasks > 1 and size:
@@ -108,9 +111,9 @@ def persons(speakers: DataFrame) -> DataFrame:
     linked = roots.select(F.col("node").alias("id"), "root").unionByName(
         roots.select(F.col("root").alias("id"), "root").distinct()
     )
-    everyone = registered.join(linked, "id", "full").withColumn("root", F.coalesce("root", "id"))
+    everyone = cut(registered.join(linked, "id", "full").withColumn("root", F.coalesce("root", "id")))
     names = everyone.groupBy("root").agg(F.min(F.when(F.col("listed"), F.col("id"))).alias("least"))
-    return everyone.join(names, "root").select("id", F.coalesce("least", "root").alias("person"))
+    return spread_join(everyone, names, ["root"], "inner").select("id", F.coalesce("least", "root").alias("person"))
 
 
 def entities(current_utterances: DataFrame, speakers: DataFrame) -> DataFrame:
@@ -121,7 +124,7 @@ def entities(current_utterances: DataFrame, speakers: DataFrame) -> DataFrame:
     known = rows.withColumn("who", F.when(F.col("who").isin(*MISSING), None).otherwise(F.col("who")))
     # only speakers whose name isn't their own id need a look-up; all others keep theirs
     renamed = cut(persons(speakers).where("id <> person")).withColumnRenamed("id", "who")
-    return known.join(renamed, "who", "left").select(
+    return spread_join(known, renamed, ["who"]).select(
         "instance_id",
         F.coalesce("person", "who", "file_id", "instance_id").alias("entity"),
         F.when(F.col("who").isNotNull(), "person").when(F.col("file_id").isNotNull(), "recording").otherwise("record").alias("kind"),
@@ -175,7 +178,7 @@ def assign(members: DataFrame, splits: list[tuple[str, float]], seed: str = "spl
     ranges = spark.createDataFrame(plan, "size bigint, new_split string, low bigint, high bigint")
     placed = bucketed_rank(groups.withColumn("_draw", F.xxhash64(F.lit(seed), "kind", "entity")), ["size"], "_draw", "_place")
     chosen = placed.join(F.broadcast(ranges), "size").where("_place between low and high").select("kind", "entity", "new_split")
-    return members.join(chosen, ["kind", "entity"])
+    return spread_join(members, cut(chosen), ["kind", "entity"], "inner")
 
 
 def straddling(members: DataFrame, splits: tuple[str, ...] = ("train", "dev", "test")) -> DataFrame:
