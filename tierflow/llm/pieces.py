@@ -49,25 +49,27 @@ def cut_places(labels: np.ndarray, rate: int, size: int, limit: int, overlap: in
     for a, b in zip(starts, ends):
         inside[a + 1 : b] = True
     boundaries = offsets[~inside]  # sorted; beyond the last every millisecond is one
-    from_ms, to_ms = offsets[starts] if len(starts) else starts, offsets[ends] if len(ends) else ends
+    from_ms, to_ms = (offsets[starts], offsets[ends]) if len(starts) else (starts, ends)
     last = int(offsets[-1])
 
-    def free(at: np.ndarray) -> np.ndarray:
-        """Whether a time lies in no event (its edges are outside)."""
-        k = np.searchsorted(from_ms, at, "left") - 1
-        return (k < 0) | (at >= to_ms[np.maximum(k, 0)]) if len(from_ms) else np.ones(len(at), bool)
+    def boundary(at: int) -> int:
+        """The last boundary not after a time."""
+        return at if at >= last else int(boundaries[np.searchsorted(boundaries, at, "right") - 1])
+
+    def cut_between(least: int, most: int) -> int:
+        at = most
+        while (end := boundary(at)) >= least:
+            k = int(np.searchsorted(from_ms, end - overlap, "left")) - 1
+            if k < 0 or end - overlap >= to_ms[k]:
+                return end
+            at = int(from_ms[k]) + overlap  # the next piece would begin inside this event: before it
+        end = boundary(most)
+        return end if end >= least else most
 
     step = max(1, 1000 // rate) if rate > 0 else 1
     pieces, start = [], 0
     while size - start > limit:
-        least, most = start + overlap + step, start + limit
-        a, b = np.searchsorted(boundaries, least, "left"), np.searchsorted(boundaries, most, "right")
-        near = boundaries[a:b]
-        if most > last:  # past the labels every place is a boundary
-            near = np.append(near, [max(least, last), min(most, max(least, last + overlap)), most])
-            near = np.unique(near[(near >= least) & (near <= most)])
-        both = near[free(near - overlap)]
-        end = int(both[-1]) if len(both) else int(near[-1]) if len(near) else most
+        end = cut_between(start + overlap + step, start + limit)
         pieces.append((start, end))
         start = end - overlap
     return [*pieces, (start, size)]
@@ -102,29 +104,38 @@ def pieces(frame_records: DataFrame, limits: DataFrame) -> DataFrame:
         "instance_id string, dataset string, audio_path string, piece int, pieces int, start_ms bigint, end_ms bigint,"
         " first_frame int, labels array<int>, size_ms bigint, limit_ms bigint"
     )
-    kinds = [pa.string()] * 3 + [pa.int32()] * 2 + [pa.int64()] * 2 + [pa.int32(), pa.list_(pa.int32())] + [pa.int64()] * 2
     names = [x.strip().split(" ")[0] for x in schema.split(",")]
+    ints = lambda x, t: pa.array(np.asarray(x, np.int64)).cast(t)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            heads = zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 6, 7)))
+            if not batch.num_rows:
+                continue
+            rates, sizes, limits, overlaps = (batch.column(i).to_numpy() for i in (3, 4, 6, 7))
             lists = batch.column(5)
-            for i, (item, dataset, path, rate, size, limit, overlap) in enumerate(heads):
-                values = lists[i].values
-                labels = np.zeros(0, np.int32) if values is None else values.fill_null(0).to_numpy(zero_copy_only=False)
-                overlap = overlap if overlap < limit else limit // 2
-                cuts = cut_places(labels, rate, size, limit, overlap)
+            held = lists.flatten().fill_null(0).to_numpy(zero_copy_only=False)
+            lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            begins = np.concatenate([[0], np.cumsum(lengths)])
+            out: list[tuple] = []  # row, piece, pieces, start, end, first frame, place of its labels in ``held``
+            for i, (rate, size, limit) in enumerate(zip(rates.tolist(), sizes.tolist(), limits.tolist())):
+                low, high = int(begins[i]), int(begins[i + 1])
+                if limit <= 0 or size <= limit:
+                    out.append((i, 0, 1, 0, size, 0, low, high))
+                    continue
+                overlap = int(overlaps[i]) if overlaps[i] < limit else limit // 2
+                cuts = cut_places(held[low:high], rate, size, limit, overlap)
                 for k, (a, b) in enumerate(cuts):
-                    first, past = (-(-a * rate // 1000), -(-b * rate // 1000)) if rate > 0 else (0, 0)
-                    if k == len(cuts) - 1:
-                        past = len(labels)
-                    own = None if values is None else labels[first:past].tolist()
-                    out.append((item, dataset, path, k, len(cuts), a, b, min(first, len(labels)), own, size, limit))
-                if len(out) >= 2000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                    first, past = (min(-(-t * rate // 1000), high - low) if rate > 0 else 0 for t in (a, b))
+                    out.append((i, k, len(cuts), a, b, first, low + first, high if k == len(cuts) - 1 else low + max(first, past)))
+            row, piece, n, a, b, first, low, high = (np.array(c, np.int64) for c in zip(*out))
+            ends = np.concatenate([[0], np.cumsum(high - low)])
+            labels = np.concatenate([held[x:y] for x, y in zip(low.tolist(), high.tolist())])
+            gone = lists.is_null().to_numpy(zero_copy_only=False)[row]
+            own = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32), mask=np.append(gone, False)), pa.array(labels).cast(pa.int32()))
+            heads = [batch.column(c).take(pa.array(row)) for c in (0, 1, 2)]
+            yield pa.RecordBatch.from_arrays(
+                [*heads, ints(piece, pa.int32()), ints(n, pa.int32()), ints(a, pa.int64()), ints(b, pa.int64()), ints(first, pa.int32()), own,
+                 ints(sizes[row], pa.int64()), ints(limits[row], pa.int64())], names=names,
+            )
 
     return joined.mapInArrow(run, schema)
