@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import importlib
 
+from tierflow.common import discard_tables
 from tierflow.plans import registry
 from tierflow.session import session
 
@@ -20,12 +21,15 @@ def main() -> None:
     parser.add_argument("input", help="folder of the Parquet tables")
     parser.add_argument("output", nargs="?", help="folder to write Parquet to; without it 20 rows are shown")
     parser.add_argument("--master", help="e.g. local[8]; on a cluster spark-submit sets it")
+    parser.add_argument("--checkpoints", help="folder that all executors share; needed where spark.checkpoint.dir is not set")
     args = parser.parse_args()
-    df = known[args.query](session(args.master), args.input)
+    spark = session(args.master, checkpoints=args.checkpoints)
+    df = known[args.query](spark, args.input)
     if args.output:
         df.write.mode("overwrite").parquet(args.output)
     else:
         df.show(20, truncate=80)
+    discard_tables(spark)
 
 
 if __name__ == "__main__":

@@ -167,6 +167,12 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder for what a query writes and reads back; removed like the tables of cut()."""
+    _TABLES.append(f"{checkpoint_dir(spark)}/tierflow-{uuid.uuid4().hex}")
+    return _TABLES[-1]
+
+
 def discard_tables(spark: SparkSession) -> int:
     """Removes the tables of cut(), once the results that read them are written out; returns how many."""
     for path in _TABLES:

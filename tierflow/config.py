@@ -71,16 +71,20 @@ def expand(names: list[str], shorthands: dict[str, list[str]]) -> list[str]:
     return list(dict.fromkeys(x for n in names for x in shorthands.get(n, [n])))
 
 
-def download_plan(files: DataFrame, present: DataFrame, skip_large: bool = False) -> DataFrame:
-    """``files`` (dataset, name, size_mb, is_large) with action and reason, from ``present`` (dataset, name, size_mb)."""
+def download_plan(files: DataFrame, present: DataFrame, skip_large: bool = False, force: bool = False, dry_run: bool = False) -> DataFrame:
+    """``files`` (dataset, name, size_mb, is_large) with action and reason, from ``present`` (dataset, name, size_mb).
+
+    The first reason that holds counts: nothing is fetched in a dry run, large files
+    need consent (skip_large=False), ``force`` fetches anew what is there."""
     have = present.select("dataset", "name", F.col("size_mb").alias("have_mb"))
+    first = F.when(F.lit(dry_run), "dry_run").when(F.lit(force) & F.col("is_large") & F.lit(skip_large), "large").when(F.lit(force), "forced")
     reason = (
-        F.when(F.col("have_mb").isNotNull() & (F.abs(F.col("have_mb") - F.col("size_mb")) <= 1), "complete")
+        first.when(F.col("have_mb").isNotNull() & (F.abs(F.col("have_mb") - F.col("size_mb")) <= 1), "complete")
         .when(F.col("have_mb").isNotNull(), "partial")
         .when(F.col("is_large") & F.lit(skip_large), "large")
         .otherwise("absent")
     )
-    action = F.when(F.col("reason") == "complete", "skip").when(F.col("reason") == "large", "skip").when(F.col("reason") == "partial", "resume").otherwise("fetch")
+    action = F.when(F.col("reason").isin("complete", "large", "dry_run"), "skip").when(F.col("reason") == "partial", "resume").otherwise("fetch")
     return files.join(have, ["dataset", "name"], "left").withColumn("reason", reason).withColumn("action", action)
 
 
@@ -94,3 +98,26 @@ def plan_totals(plan: DataFrame) -> DataFrame:
     return agg.select(F.when(F.col("_g") == 1, "TOTAL").otherwise(F.col("dataset")).alias("dataset"), "mb_present", "mb_to_fetch")
 
 
+def with_mode(task: dict, shared: dict, modes: dict[str, dict], mode: str) -> dict:
+    """Shared values, the task's and the mode's, later ones winning; an unknown mode is an error."""
+    if mode not in modes:
+        raise ValueError(f"mode {mode!r}; known are {sorted(modes)}")
+    return {**shared, **task, **modes[mode]}
+
+
+def available(tasks: dict[str, Task], exists) -> tuple[list[str], list[str]]:
+    """Names of the tasks whose files all exist, and of those that lack some."""
+    have = [n for n, t in tasks.items() if all(map(exists, t.paths))]
+    return have, [n for n in tasks if n not in have]
+
+
+def run_folders(root: str, name: str, test: bool = False) -> dict[str, str]:
+    """Where a run keeps its things; trial runs stand apart."""
+    base = f"{root.rstrip('/')}/{'test_' if test else ''}{name}"
+    return {"run": base, **{k: f"{base}/{k}" for k in ("model", "predictions", "reports", "logs")}}
+
+
+def subset_name(corpora: list[str], hours: float | None = None, n: int | None = None, duration: tuple[float, float] | None = None) -> str:
+    """A name that says what a subset was made of: ps-hr_ps-rs_5h_2-15s."""
+    size = [f"{hours:g}h"] if hours is not None else [f"{n}rows"] if n is not None else []
+    return "_".join([*(c.lower().replace("parlaspeech", "ps") for c in corpora), *size, *([f"{duration[0]:g}-{duration[1]:g}s"] if duration else [])])

@@ -169,3 +169,22 @@ def runs(values: Column | str) -> Column:
         F.get(v, i).alias("value"), i.alias("first"), F.coalesce(F.get(c, k + 1), F.size(v)).alias("past")
     )
     return let(changes, lambda c: F.transform(c, lambda i, k: one(c, i, k)))
+
+
+#: Model types and how their frames come about.
+FAMILIES = {"wav2vec2": "convolutions", "wav2vec2-bert": "adapter"}
+
+
+def family_of(model_type: str) -> str:
+    if model_type not in FAMILIES:
+        raise ValueError(f"unknown model type {model_type!r}; known are {sorted(FAMILIES)}")
+    return FAMILIES[model_type]
+
+
+def output_length(inputs: Column | str, model_type: str, kernels: Sequence[int] = (), strides: Sequence[int] = (), adapter: tuple[int, int, int] | None = None) -> Column:
+    """Frames of a model: of stacked convolutions over samples, or of filter-bank frames that only an
+    adapter (layers, kernel, stride) makes fewer."""
+    if family_of(model_type) == "convolutions":
+        return conv_length(inputs, kernels, strides)
+    layers, kernel, stride = adapter or (0, 1, 1)
+    return conv_length(inputs, [kernel] * layers, [stride] * layers)

@@ -95,3 +95,8 @@ def word_text(text: Column | str, char_s: Column | str, char_e: Column | str, ow
     """A word's own text, else the slice [char_s, char_e) of the utterance."""
     cut = F.substring(col(text), col(char_s) + 1, F.greatest(col(char_e) - col(char_s), F.lit(0)))
     return F.coalesce(blank_to_null(own), cut) if own is not None else cut
+
+
+def regression_label(number: Column | str, label: Column | str, scale: Mapping[str, float]) -> Column:
+    """One number for labels of two kinds: the number if it is one, else the label's place on the scale, else NULL."""
+    return F.coalesce(col(number).try_cast("double"), F.try_element_at(lookup(scale), col(label)))

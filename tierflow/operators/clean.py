@@ -13,6 +13,11 @@ from tierflow.functions.values import col, strip
 from tierflow.schema import OPTIONAL, REQUIRED, SPLITS
 
 
+#: What the checks of a record say.
+MISSING_KEY, WRONG_TYPE, WRONG_OPTIONAL = "missing required key '{}'", "'{}' has wrong type", "optional '{}' has wrong type"
+BAD_SPLIT, BAD_ORDER, NO_SEQUENCE = "split must be one of train, dev, test", "end_t before start_t", "frame_rate_hz set but no sequence labels"
+
+
 def _messages(*checks: tuple[Column, Column]) -> Column:
     made = F.array(*[F.when(F.coalesce(bad, F.lit(False)), text) for bad, text in checks])
     return F.filter(made, lambda m: m.isNotNull())
@@ -22,17 +27,17 @@ def errors_of(df: DataFrame) -> Column:
     """array<string>: what is wrong with a typed record. In a typed table a NULL stands for a missing key."""
     who = F.coalesce(F.col("instance_id"), F.lit("<no instance_id>"))
     say = lambda *t: F.concat(who, F.lit(": "), *[x if isinstance(x, Column) else F.lit(x) for x in t])
-    checks = [(F.col(k).isNull(), say(f"missing required key '{k}'")) for k in REQUIRED if k in df.columns]
+    checks = [(F.col(k).isNull(), say(MISSING_KEY.format(k))) for k in REQUIRED if k in df.columns]
     checks.append(
-        (~F.coalesce(F.col("split").isin(*SPLITS), F.lit(False)), say("split must be one of train, dev, test, got ", F.coalesce("split", F.lit("NULL"))))
+        (~F.coalesce(F.col("split").isin(*SPLITS), F.lit(False)), say(f"{BAD_SPLIT}, got ", F.coalesce("split", F.lit("NULL"))))
     )
     if {"start_t", "end_t"} <= set(df.columns):
-        checks.append((F.col("end_t") < F.col("start_t"), say("end_t before start_t")))
+        checks.append((F.col("end_t") < F.col("start_t"), say(BAD_ORDER)))
     if "frame_rate_hz" in df.columns:
         labels = df.schema["labels"].dataType
         lists = [F.col(f"labels.`{f.name}`") for f in labels if f.dataType.typeName() == "array"]
         some = F.coalesce(*lists).isNotNull() if len(lists) > 1 else lists[0].isNotNull() if lists else F.lit(False)
-        checks.append((F.col("frame_rate_hz").isNotNull() & ~some, say("frame_rate_hz set but no sequence labels")))
+        checks.append((F.col("frame_rate_hz").isNotNull() & ~some, say(NO_SEQUENCE)))
     return _messages(*checks)
 
 
@@ -47,17 +52,17 @@ def errors_of_variant(v: Column) -> Column:
     node = lambda k: F.try_variant_get(v, f"$.{k}", "variant")
     checks = []
     for k, kind in REQUIRED.items():
-        checks.append((node(k).isNull(), F.lit(f"missing required key '{k}'")))
-        checks.append((node(k).isNotNull() & ~kind_ok[kind](F.schema_of_variant(node(k))), F.lit(f"'{k}' has wrong type")))
+        checks.append((node(k).isNull(), F.lit(MISSING_KEY.format(k))))
+        checks.append((node(k).isNotNull() & ~kind_ok[kind](F.schema_of_variant(node(k))), F.lit(WRONG_TYPE.format(k))))
     for k, kind in OPTIONAL.items():
-        checks.append((node(k).isNotNull() & ~kind_ok[kind](F.schema_of_variant(node(k))), F.lit(f"optional '{k}' has wrong type")))
+        checks.append((node(k).isNotNull() & ~kind_ok[kind](F.schema_of_variant(node(k))), F.lit(WRONG_OPTIONAL.format(k))))
     split = F.try_variant_get(v, "$.split", "string")
-    checks.append((~F.coalesce(split.isin(*SPLITS), F.lit(False)), F.lit("split must be one of train, dev, test")))
+    checks.append((~F.coalesce(split.isin(*SPLITS), F.lit(False)), F.lit(BAD_SPLIT)))
     start, end = (F.try_variant_get(v, f"$.{k}", "double") for k in ("start_t", "end_t"))
-    checks.append((end < start, F.lit("end_t before start_t")))
+    checks.append((end < start, F.lit(BAD_ORDER)))
     values = F.map_values(F.try_variant_get(v, "$.labels", "map<string,variant>"))
     has_list = F.coalesce(F.exists(values, lambda x: F.schema_of_variant(x).startswith("ARRAY")), F.lit(False))
-    checks.append((node("frame_rate_hz").isNotNull() & ~has_list, F.lit("frame_rate_hz set but no sequence labels")))
+    checks.append((node("frame_rate_hz").isNotNull() & ~has_list, F.lit(NO_SEQUENCE)))
     return _messages(*checks)
 
 
@@ -165,3 +170,19 @@ def rate_gate(df: DataFrame, hz: int) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_if(~rate.eqNullSafe(F.lit(hz))).alias("n_wrong"),
         F.array_sort(F.collect_set(rate)).alias("rates"),
     )
+
+
+def long_enough(text: Column | str, n: int) -> Column:
+    """Whether a text has at least n characters; NULL has none."""
+    return F.coalesce(F.length(col(text)), F.lit(0)) >= n
+
+
+def span_off(seconds: Column, start: Column, end: Column, tolerance: float = 0.05) -> Column:
+    """Whether a file's length and the bounds it was cut by disagree by more than the tolerance; NULL if one is unknown."""
+    return F.abs(seconds - (end - start)) > tolerance
+
+
+def is_frame_record(labels: Column) -> Column:
+    """Whether any value of a record's labels (VARIANT object) is a list."""
+    values = F.map_values(F.try_variant_get(labels, "$", "map<string,variant>"))
+    return F.coalesce(F.exists(values, lambda x: F.coalesce(F.schema_of_variant(x).startswith("ARRAY"), F.lit(False))), F.lit(False))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierflow.common import cut, ms
 from tierflow.functions.frames import runs
 from tierflow.functions.values import col
+from tierflow.operators.periods import periods_and_gaps
 
 
 def frames_to_events(preds: Column | str, probs: Column | str, labels: dict[int, str], frame_s, background: int = 0, chunk_start=0.0) -> Column:
@@ -39,14 +43,19 @@ def postprocess(events: Column | str, duration, drop_initial: bool = True, drop_
 
 
 def fill_gaps(events: DataFrame, key: str, duration: str, start: str = "start_s", end: str = "end_s", label: str = "label") -> DataFrame:
-    """key, start, end, label: the events of a recording and '' for all between, before and after them."""
-    w = Window.partitionBy(key).orderBy(start, end)
-    seen = events.withColumn("_reach", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))).withColumn("_next", F.lead(start).over(w))
-    part = lambda a, b, t: F.struct(a.alias(start), b.alias(end), t.alias(label))
-    before = part(F.coalesce("_reach", F.lit(0.0)), F.col(start), F.lit(""))
-    after = F.when(F.col("_next").isNull(), part(F.greatest(end, F.coalesce("_reach", F.lit(0.0))), F.col(duration), F.lit("")))
-    pieces = F.filter(F.array(before, part(F.col(start), F.col(end), F.col(label)), after), lambda p: p.isNotNull() & (p[end] > p[start]))
-    return seen.select(key, F.inline(pieces))
+    """key, start, end, label: the events of a recording and '' for all between, before and after them.
+
+    What lies between comes from the periods of the events, in whole milliseconds: a
+    recording of any size is spread. Events that don't end after their start drop out."""
+    kind = events.schema[key].dataType
+    spans = events.select(F.col(key).cast("string").alias("item"), F.lit(label).alias("layer"), ms(start).alias("start_ms"), ms(end).alias("end_ms"))
+    gaps = periods_and_gaps(spans).where("kind = 'gap'")
+    between = gaps.select(F.col("item").cast(kind).alias(key), (F.col("start_ms") / 1000).alias(start), (F.col("end_ms") / 1000).alias(end))
+    ok = events.where(F.col(end) > F.col(start))
+    ends = ok.groupBy(key).agg(F.min(start).alias("_a"), F.max(end).alias("_z"), F.max(duration).alias("_d"))
+    part = lambda a, b: F.struct(a.alias(start), b.alias(end))
+    around = ends.select(key, F.inline(F.array(part(F.lit(0.0), F.col("_a")), part(F.col("_z"), F.col("_d"))))).where(F.col(end) > F.col(start))
+    return ok.select(key, start, end, label).unionByName(between.unionByName(around).withColumn(label, F.lit("")))
 
 
 def chunk_spans(duration: Column | str, length: float) -> Column:
@@ -62,11 +71,27 @@ def chunk_spans(duration: Column | str, length: float) -> Column:
 
 
 def islands(df: DataFrame, key: list[str], order: list[str], value: str) -> DataFrame:
-    """Maximal runs of equal values in a long table: key, island, value, n."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    new = ~F.col(value).eqNullSafe(F.lag(value).over(w)) | (F.row_number().over(w) == 1)
-    numbered = df.withColumn("_new", new.cast("int")).withColumn("island", F.sum("_new").over(w))
-    return numbered.groupBy(*key, "island", value).agg(F.count(F.lit(1)).alias("n"))
+    """Maximal runs of equal values in a long table: key, island (ascending in order), value, n.
+
+    Rows are put in order by ranges, so that a key of any size is spread; each task
+    counts its own runs, and only the first and last run of each task are compared
+    with those of the next, two rows a task."""
+    names = [*key, value]
+    placed = cut(df.select(*dict.fromkeys([*key, *order, value])).repartitionByRange(*key, *order).withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy("_part").orderBy(*key, *order)
+    same = lambda w: functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.lag(c).over(w)) for c in names])
+    new = ~same(inside) | (F.row_number().over(inside) == 1)
+    local = placed.withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(inside))
+    runs_ = cut(local.groupBy("_part", "_run", *names).agg(F.count(F.lit(1)).alias("n")))
+    last = runs_.groupBy("_part").agg(F.max("_run").alias("_last"))
+    marked = runs_.join(F.broadcast(last), "_part")  # a row a task
+    at = F.shiftleft(F.col("_part").cast("bigint"), 33) + F.col("_run")
+    edge = (F.col("_run") == 1) | (F.col("_run") == F.col("_last"))
+    line = Window.partitionBy(F.lit(0)).orderBy("_part", "_run")
+    goes_on = same(line) & (F.col("_run") == 1) & (F.lag("_part").over(line) < F.col("_part"))
+    chained = marked.where(edge).withColumn("_island", at).withColumn("_new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).withColumn("_chain", F.sum("_new").over(line))
+    joined = chained.groupBy("_chain", *names).agg(F.min("_island").alias("island"), F.sum("n").alias("n"))
+    return marked.where(~edge).select(*key, at.alias("island"), value, "n").unionByName(joined.select(*key, "island", value, "n"))
 
 
 def totals(events: DataFrame, key: str, start: str = "start_s", end: str = "end_s") -> DataFrame:

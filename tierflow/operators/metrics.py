@@ -203,3 +203,8 @@ def ranking(df: DataFrame, metric: str, error: str = "error") -> DataFrame:
 def eta_seconds(n_train: int, n_dev: int, epochs: int, rate: float) -> float:
     """Rough time of both phases: train, then train and dev, at ``rate`` records a second."""
     return (n_train * epochs + (n_train + n_dev) * epochs) / rate
+
+
+def recalibrated_eta(done: int, elapsed: float, left: int) -> float:
+    """Seconds still needed for ``left`` records at the rate seen so far."""
+    return left * elapsed / done if done else float("inf")

@@ -134,6 +134,17 @@ def child_positions(recs: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, [places.select("instance_id", F.inline(k)) for k in COLUMNS])
 
 
+def words_and_marks(recs: DataFrame) -> DataFrame:
+    """instance_id, text, words, marks: typed arrays of words_align and primary_stress, null entries in their places."""
+    m = opened(field(F.col("v"), "metadata"))
+    node = recs.select("instance_id", F.try_variant_get("v", "$.text", "string").alias("text"), m.alias("_m"))
+    number = lambda x, key, kind: F.try_variant_get(x, f"$['{key}']", kind).alias(key)
+    word = lambda x: F.struct(*[number(x, c, t) for c, (_, t) in COLUMNS["words_align"].items()])
+    mark = lambda x: F.struct(number(x, "words_align_idx", "double"), numbers(field(x, "raw")).alias("raw"))
+    typed = lambda key, made: F.transform(F.transform(entries(opened(field(F.col("_m"), key))), opened), lambda x: F.when(present(x), made(x)))
+    return node.select("instance_id", "text", typed("words_align", word).alias("words"), typed("primary_stress", mark).alias("marks"))
+
+
 def record_table(recs: DataFrame) -> DataFrame:
     """The flat parent table: one row per record."""
     v = F.col("v")

@@ -180,3 +180,13 @@ def tiers(df: DataFrame, error: str, size: str, item: str, k: int, seed: str = S
     worst = rest.orderBy(F.col(error).desc(), F.col(size).desc(), item).limit(k).withColumn("tier", F.lit("worst"))
     other = rest.join(worst.select(item), item, "left_anti").orderBy(draw(seed, item)).limit(k).withColumn("tier", F.lit("random"))
     return best.unionByName(worst).unionByName(other)
+
+
+def trial_rows(df: DataFrame, order: list[str], n: int | None = 10) -> DataFrame:
+    """The first n rows in order for a trial run; all of them if n is None."""
+    return df if n is None else df.orderBy(*order).limit(n)
+
+
+def for_training(df: DataFrame, with_dev: bool = True) -> DataFrame:
+    """Train rows, and dev rows with them for a final fit."""
+    return df.where(F.col("split").isin(*(("train", "dev") if with_dev else ("train",))))

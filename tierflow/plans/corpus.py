@@ -237,14 +237,6 @@ def validate_errors(spark, d):
     return clean.report_errors(table(spark, d, "utterances"), 20)
 
 
-@query()
-def validate_lines(spark, d):
-    """Errors of raw lines, absent keys told from null ones."""
-    v = F.try_parse_json("raw")
-    lines = table(spark, d, "record_lines").select("line_no", v.alias("v")).where("v is not null")
-    return lines.select("line_no", F.explode(clean.errors_of_variant(F.col("v"))).alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(
     """WITH v AS (SELECT *, row_number() OVER (PARTITION BY instance_id ORDER BY ingested_at, md5(CAST(split AS VARCHAR))) AS r
   FROM utterances WHERE coalesce(split IN ('train','dev','test'), false)), u AS (SELECT * FROM v WHERE r = 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierflow.plans import corpus, timelines, training
+from tierflow.plans import corpus, exchange, timelines, training
 
-QUERIES = {**corpus.QUERIES, **timelines.QUERIES, **training.QUERIES}
-ORACLE = {**corpus.ORACLE, **timelines.ORACLE, **training.ORACLE}
+QUERIES = {**corpus.QUERIES, **timelines.QUERIES, **training.QUERIES, **exchange.QUERIES}
+ORACLE = {**corpus.ORACLE, **timelines.ORACLE, **training.ORACLE, **exchange.ORACLE}

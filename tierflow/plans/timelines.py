@@ -253,20 +253,6 @@ def event_explode(spark, d):
     return reshape.event_rows(u, e)
 
 
-@query()
-def word_frames(spark, d):
-    """Words of raw records with their stress frames."""
-    v = F.col("v")
-    words = F.try_variant_get(v, "$.metadata.words_align", "array<struct<time_s:double,time_e:double,char_s:int,char_e:int,text:string>>")
-    stress = F.try_variant_get(v, "$.metadata.primary_stress", "array<struct<words_align_idx:int,raw:array<double>>>")
-    from tierflow.operators.nested import records
-
-    r = records(table(spark, d, "record_lines")).select(
-        "instance_id", F.try_variant_get(v, "$.text", "string").alias("text"), words.alias("w"), F.coalesce(stress, F.array()).alias("s")
-    )
-    return reshape.word_rows(r, F.col("w"), F.col("s"), 50)
-
-
 @query(f"""WITH {_TIERS}, n AS (SELECT DISTINCT file_id, tier FROM tiers WHERE tier IN ('norm', 'FilledPauses', 'instructions')), m AS (SELECT file_id, min(s) AS start_t, max(e) AS end_t FROM tiers WHERE tier IN ('norm', 'FilledPauses', 'instructions') GROUP BY 1)
 SELECT file_id, tier AS layer, CAST(row_number() OVER (PARTITION BY file_id ORDER BY list_position(['FilledPauses', 'norm', 'instructions'], tier)) AS INT) AS place,
 CASE WHEN row_number() OVER (PARTITION BY file_id ORDER BY list_position(['FilledPauses', 'norm', 'instructions'], tier)) > 1 THEN tier || '_words' ELSE 'words' END AS new_tier, start_t, end_t FROM n JOIN m USING (file_id)""")

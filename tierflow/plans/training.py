@@ -116,12 +116,12 @@ direct AS (
 flat AS (SELECT instance_id, child, CAST(r.pos AS INT) AS pos, -1 AS parent_pos, r.node AS node FROM direct WHERE r.node IS NOT NULL AND json_type(r.node) <> 'NULL'),
 stress AS (SELECT instance_id, {_placed("primary_stress")} AS r FROM lists),
 marks AS (
-  SELECT instance_id, 'primary_stress' AS child, CAST(r.pos AS INT) AS pos, try_cast(r.node ->> '$.words_align_idx' AS DOUBLE) AS at, r.node AS node
+  SELECT instance_id, 'primary_stress' AS child, CAST(r.pos AS INT) AS pos, try_cast(r.node ->> '$.words_align_idx' AS DOUBLE) AS word_at, r.node AS node
   FROM stress WHERE r.node IS NOT NULL AND json_type(r.node) <> 'NULL'
 ),
 placed AS (
   SELECT m.instance_id, m.child, m.pos, coalesce(w.pos, -1) AS parent_pos, m.node
-  FROM marks m LEFT JOIN flat w ON w.instance_id = m.instance_id AND w.child = 'words_align' AND w.pos = m.at
+  FROM marks m LEFT JOIN flat w ON w.instance_id = m.instance_id AND w.child = 'words_align' AND w.pos = m.word_at
 ),
 role_lists AS (SELECT instance_id, pos AS parent_pos, list_transform({_entries(_opened("(node -> '$.Roles')"))}, lambda y: {_opened("y")}) AS items FROM flat WHERE child = 'memberships'),
 role_rows AS (SELECT instance_id, {_placed("items", "parent_pos")} AS r FROM role_lists),

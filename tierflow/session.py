@@ -15,8 +15,12 @@ SETTINGS = {
 }
 
 
-def session(master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
-    """The session; ``master`` and ``shuffle_partitions`` are for single machines."""
+def session(master: str | None = None, shuffle_partitions: int | None = None, checkpoints: str | None = None, **settings: str) -> SparkSession:
+    """The session; ``master`` and ``shuffle_partitions`` are for single machines.
+
+    ``checkpoints``: the folder that all executors share, where the cluster does not set spark.checkpoint.dir."""
+    if checkpoints:
+        settings["spark.checkpoint.dir"] = checkpoints
     builder = SparkSession.builder.appName("tierflow").config(map=SETTINGS | settings)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,9 +49,9 @@ def read_lookup(spark: SparkSession, path: str, key: str, sep: str = ",") -> Dat
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = True) -> DataFrame:
-    """path, length, modificationTime of files; contents aren't read."""
+    """path, length, modificationTime of files, in order of path; contents aren't read."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
-    return reader.load(path).select("path", "length", "modificationTime")
+    return reader.load(path).select("path", "length", "modificationTime").orderBy("path")
 
 
 def cap_per_layer(files: DataFrame, layer: Column, n: int) -> DataFrame:
@@ -70,8 +72,14 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> int:
 
 
 def write_recipes(tables: dict[str, DataFrame], folder: str) -> dict[str, int]:
-    """One folder per table; empty tables aren't written."""
-    return {name: write_jsonl(df, f"{folder}/{name}") for name, df in tables.items() if not df.isEmpty()}
+    """One folder per table with its number of rows; each is worked out once, and what turns out empty is removed."""
+    counts = {}
+    for name, df in tables.items():
+        counts[name] = write_jsonl(df, f"{folder}/{name}")
+        if not counts[name]:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    return {name: n for name, n in counts.items() if n}
 
 
 def write_by(df: DataFrame, path: str, *keys: str) -> None:
@@ -85,8 +93,8 @@ def write_table(df: DataFrame, path: str, sep: str = "\t") -> None:
 
 
 def append_runs(df: DataFrame, path: str) -> None:
-    """Appends rows to a results table."""
-    df.write.mode("append").option("header", True).csv(path)
+    """Appends the rows of a run (few) as one file to a results table; every file has its header, as readers expect."""
+    df.coalesce(1).write.mode("append").option("header", True).csv(path)
 
 
 def markdown(df: DataFrame, most: int = 1000) -> str:
@@ -97,3 +105,26 @@ def markdown(df: DataFrame, most: int = 1000) -> str:
     cell = lambda x: "" if x is None else f"{x:.3f}" if isinstance(x, float) else str(x).replace("|", "\\|")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     return "\n".join(lines + ["| " + " | ".join(map(cell, r)) + " |" for r in rows])
+
+
+def read_with_broken(lines: DataFrame, raw: str = "raw") -> DataFrame:
+    """One row: lines, blank and broken ones (no JSON object) of raw text lines."""
+    v = F.try_parse_json(raw)
+    blank = F.coalesce(F.trim(raw), F.lit("")) == ""
+    whole = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(blank).alias("blank"), F.count_if(~blank & ~whole).alias("broken"))
+
+
+def write_report(tables: dict[str, DataFrame], title: str) -> str:
+    """A Markdown report of several small aggregates, each under its heading."""
+    return "\n\n".join([f"# {title}", *(f"## {name}\n\n{markdown(df)}" for name, df in tables.items())]) + "\n"
+
+
+def summary_json(tables: dict[str, DataFrame], most: int = 1000) -> str:
+    """Small aggregates as one JSON object: name -> rows."""
+    rows = {}
+    for name, df in tables.items():
+        rows[name] = [json.loads(r) for r in df.limit(most + 1).toJSON().collect()]
+        if len(rows[name]) > most:
+            raise ValueError(f"{name} has more than {most} rows: aggregate first")
+    return json.dumps(rows, ensure_ascii=False, indent=1)

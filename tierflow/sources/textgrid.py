@@ -50,6 +50,11 @@ def parse(text: str) -> list[tuple]:
 def read_textgrids(spark: SparkSession, path: str) -> DataFrame:
     """The long interval table of all TextGrid files below ``path``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.TextGrid").option("recursiveFileLookup", True).load(path)
+    return parsed(files.select("path", "content"))
+
+
+def parsed(files: DataFrame) -> DataFrame:
+    """The intervals of files given as path and content (binary)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -57,11 +62,11 @@ def read_textgrids(spark: SparkSession, path: str) -> DataFrame:
             rows = [(p, *r) for p, c in zip(batch["path"], batch["content"]) for r in parse(decode(c))]
             yield pd.DataFrame(rows, columns=columns)
 
-    return files.select("path", "content").mapInPandas(run, SCHEMA)
+    return files.mapInPandas(run, SCHEMA)
 
 
-def to_textgrid(tiers: DataFrame, key: str = "base") -> DataFrame:
-    """key, content: one TextGrid (long form) per key of key, tier, place, idx, start_t, end_t, label.
+def to_textgrid(tiers: DataFrame, key: str = "base", short: bool = False) -> DataFrame:
+    """key, content: one TextGrid (long or short form) per key of key, tier, place, idx, start_t, end_t, label.
 
     Built in the JVM; a file is one row, so it must fit an executor's memory as it must a reader's."""
     quoted = F.concat(F.lit('"'), F.replace(F.coalesce("label", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
@@ -71,6 +76,15 @@ def to_textgrid(tiers: DataFrame, key: str = "base") -> DataFrame:
     per_tier = tiers.groupBy(key, "place", "tier").agg(
         F.array_sort(F.collect_list(item)).alias("items"), F.min("start_t").alias("lo"), F.max("end_t").alias("hi")
     )
+    if short:  # the same values in the same order, one a line and without names
+        bare = F.transform("items", lambda x: line(number(x["start_t"]), "\n", number(x["end_t"]), "\n", x["text"], "\n"))
+        body = line('"IntervalTier"\n"', F.col("tier"), '"\n', number(F.col("lo")), "\n", number(F.col("hi")), "\n", F.size("items").cast("string"), "\n", F.array_join(bare, ""))
+        per_file = per_tier.select(key, "place", "lo", "hi", body.alias("body")).groupBy(key).agg(
+            F.array_sort(F.collect_list(F.struct("place", "body"))).alias("t"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+        )
+        return per_file.select(key, line(
+            'File type = "ooTextFile"\nObject class = "TextGrid"\n\n', number(F.col("lo")), "\n", number(F.col("hi")), "\n<exists>\n",
+            F.size("t").cast("string"), "\n", F.array_join(F.transform("t", lambda x: x["body"]), "")).alias("content"))
     lines = F.transform("items", lambda x, i: line(
         "        intervals [", (i + 1).cast("string"), "]:\n            xmin = ", number(x["start_t"]), "\n            xmax = ",
         number(x["end_t"]), "\n            text = ", x["text"], "\n"))

@@ -20,7 +20,7 @@ def append_each(stream: DataFrame, sink: Callable[[DataFrame, int], None], check
     return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest_in_stream(stream: DataFrame, key: str, time: str, late: str = "1 day") -> DataFrame:
+def first_in_stream(stream: DataFrame, key: str, time: str, late: str = "1 day") -> DataFrame:
     """First arrival of each (key, time) within the watermark: repeated rows of a stream drop out."""
     return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).dropDuplicatesWithinWatermark([key, time])
 
@@ -29,3 +29,8 @@ def windowed_counts(stream: DataFrame, time: str, width: str, late: str, *keys:
     """Tumbling counts; timestamps without zone are read as UTC, which watermarks need."""
     timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
     return timed.groupBy(F.window(time, width), *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def latest_in_stream(stream: DataFrame, key: str, time: str) -> DataFrame:
+    """The latest row of each key so far (update or complete mode); one row a key is kept as state."""
+    return stream.groupBy(key).agg(F.max_by(F.struct(*[c for c in stream.columns if c != key]), time).alias("row")).select(key, "row.*")
