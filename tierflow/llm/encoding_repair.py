@@ -261,10 +261,8 @@ class Model:
                 if often:
                     sequences.append((sorted(often), sorted(c for c, b in chain.byte.items() if 0x80 <= b < 0xC0), length))
         quoted = lambda cs: "[" + "".join(map(re.escape, cs)) + "]"
-        coded = lambda cs: "[" + "".join(f"\\x{{{ord(c):x}}}" for c in cs) + "]"
         either = lambda q: "|".join([q(sorted(unsafe)), *(q(a) + q(b) + f"{{{n}}}" for a, b, n in sequences), q(SMALL) + q(CAPITAL)])
         self.suspicious = re.compile(either(quoted))
-        self.java_pattern = either(coded)
 
     def __getstate__(self) -> tuple:
         """What a broadcast holds: counts that aren't 0, compressed."""
@@ -564,19 +562,20 @@ def fit(documents: DataFrame, text: str = "text", source: str = "source", rounds
     base = to_tables(buckets, at, values)
     every = base.copy()
     every[:2] += to_tables(buckets, at, values, 4)[:2]
-    everything = Model(chars, every)
+    everything, first_pattern = Model(chars, every), first.suspicious
     box = spark.sparkContext.broadcast(everything)
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        suspicious = first_pattern.search
         for batch in batches:
+            batch = batch.filter(pa.array([suspicious(w) is not None for w in batch.column(0).to_pylist()], pa.bool_()))
             found = [box.value.candidates(w) for w in batch.column(0).to_pylist()]
             texts = pa.list_(pa.string())
             more = [pa.array([list(x) for x in found], texts), pa.array([list(x.values()) for x in found], texts)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "chains", "originals"])
 
     # the candidates of a suspicious word don't change from round to round
-    rows = per_word.where(F.col("word").rlike(first.java_pattern))
-    suspects = cut(rows.mapInArrow(propose, "word string, n bigint, chains array<string>, originals array<string>"))
+    suspects = cut(per_word.mapInArrow(propose, "word string, n bigint, chains array<string>, originals array<string>"))
     box.destroy()
     # the counts of a word in its sources, in as many rows as there are thousands of sources
     row = F.pmod("source", F.lit(len(ids) // SOURCES_A_ROW + 1))
