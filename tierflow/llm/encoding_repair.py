@@ -17,7 +17,7 @@ the ratios that speak for it bounds this from above, so only records that pass
 that bound are worked out in full.
 
 What is held at once: counts of words, trigrams and bigrams in hashed tables, four
-to eight buckets a word of the dictionary (``buckets_for``; beyond 4 million words
+to eight buckets a word of the dictionary (``buckets_for``; beyond 1 million words
 counts of rare words blur, as in any count-min sketch, and the trigrams decide),
 character counts (at most one per code point) and 16 bytes a source for its
 weights. So both EM and repair are passes over tasks' own rows with these
@@ -150,8 +150,8 @@ def chains() -> tuple[list[Utf8Chain], list[TableChain]]:
 
 
 def buckets_for(words: int) -> int:
-    """Buckets of a table: a power of two of at least four a word, 2^18 to 2^24."""
-    return 1 << max(18, min(24, math.ceil(math.log2(max(words, 1) * 4))))
+    """Buckets of a table: a power of two of at least four a word, 2^18 to 2^22 (so that a pass's sums fit a driver)."""
+    return 1 << max(18, min(22, math.ceil(math.log2(max(words, 1) * 4))))
 
 
 def code_of(s: str, seed: int = 0) -> int:
