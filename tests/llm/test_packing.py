@@ -93,6 +93,61 @@ def test_evolution_removes_half_of_best_fits_excess():
     assert excess["evolved"] <= excess["best fit"] / 2, excess
 
 
+def counted_generations(monkeypatch):
+    run = [0]
+    generation = packing.Island.generation
+
+    def counted(island):
+        run[0] += 1
+        generation(island)
+
+    monkeypatch.setattr(packing.Island, "generation", counted)
+    return run
+
+
+def test_evolution_goes_on_while_it_gets_better(monkeypatch):
+    run = counted_generations(monkeypatch)
+    rng = random.Random(11)
+    most, above = 0, 0
+    for k in range(6):
+        run[0] = 0
+        sizes = [int(30_000 * min(0.95, rng.lognormvariate(-1.4, 0.5))) for _ in range(500)]
+        bins = packing.evolve(sizes, 30_000, f"s{k}")
+        assert sorted(i for _, held in bins for i in held) == list(range(500))
+        most, above = max(most, run[0]), above + len(bins) - -(-sum(sizes) // 30_000)
+    assert most > 80 and above <= 2, (most, above)
+
+
+def test_evolution_ends_where_nothing_gets_better(monkeypatch):
+    run = counted_generations(monkeypatch)
+    bins = packing.evolve([60] * 50, 100, "x", islands=3, generations=5, patience=2)
+    assert [len(held) for _, held in bins] == [1] * 50  # the bound of 30 can't be reached
+    assert run[0] == 3 * 5 * 2
+
+
+def test_packing_leaves_few_containers_above_the_bound(spark):
+    rng = random.Random(13)
+    rows = [(f"i{k}", "d", int(30_000 * min(0.95, rng.lognormvariate(-1.4, 0.5)))) for k in range(4000)]
+    out = lists(spark, rows, [("d", 30_000)])
+    bins = len({r.container for r in out})
+    assert bins <= -(-sum(n for *_, n in rows) // 30_000) + 2, bins
+
+
+def test_rounds_go_on_while_containers_get_fewer(spark, monkeypatch):
+    seeds = []
+    one_round = packing._round
+    monkeypatch.setattr(packing, "_round", lambda *args: seeds.append(args) or one_round(*args))
+    rng = random.Random(17)
+    rows = [(f"i{k}", "d", int(30_000 * min(0.95, rng.lognormvariate(-1.4, 0.5)))) for k in range(2000)]
+    out = lists(spark, rows, [("d", 30_000)], share_items=40)
+    assert len(seeds) > 3, len(seeds)
+    fill = defaultdict(int)
+    for r in out:
+        fill[r.container] += r.end_ms - r.start_ms
+    assert len(out) == len({r.instance_id for r in out}) == 2000 and max(fill.values()) <= 30_000
+    assert sum(fill.values()) == sum(n for *_, n in rows)
+
+
 def test_report(spark):
     items = spark.createDataFrame([("a", "d", 60), ("b", "d", 60)], "instance_id string, dataset string, length_ms bigint")
     lim = spark.createDataFrame([("d", 100)], "dataset string, capacity_ms bigint")

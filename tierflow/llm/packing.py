@@ -11,9 +11,12 @@ containers, then the mean of (fill / capacity) squared.
 Islands: the items of each key are dealt by a hash into shares of bounded size. A
 ring of islands evolves each share, every island with its own population; after
 each epoch the best-filled containers of an island go to the next one of the ring,
-where crossover injects them. Shares are spread over all tasks. After a round,
+where crossover injects them. Evolution goes on until the bound that no packing can
+beat is reached, or until several epochs in a row bring no better packing; no number
+of generations is set. Shares are spread over all tasks. After a round,
 containers filled to ``elite`` settle; the items of the others are dealt into new
-shares over all tasks and evolve again. So a hot key is many shares, and no task
+shares over all tasks and evolve again, until a round brings no fewer containers
+(what the round before had then stays). So a hot key is many shares, and no task
 holds more than one share at once. Items are divided only if longer than the
 capacity: into parts as long as the capacity, each filling a container, and a last
 part that is packed.
@@ -27,8 +30,9 @@ item. Ties are broken by item id, so results are the same on every run.
 from __future__ import annotations
 
 import random
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,23 +45,25 @@ from tierflow.common import SMALL_ROWS, cut, ms
 SHARE_ITEMS = 1000
 
 Bin = tuple[int, list[int]]  # fill, indices of items
+_fill = itemgetter(0)
 
 
 def best_fit(order: list[int], sizes: list[int], capacity: int, bins: list[Bin]) -> list[Bin]:
     """Puts items in the given order each into the fullest container it fits in."""
-    room = sorted((capacity - fill, i) for i, (fill, _) in enumerate(bins))
+    least = min([sizes[i] for i in order], default=0)  # containers with less room take none
+    room = sorted([(capacity - fill, i) for i, (fill, _) in enumerate(bins) if capacity - fill >= least])
     for item in order:
         size = sizes[item]
         at = bisect_left(room, (size, -1))
         if at == len(room):
             bins.append((size, [item]))
-            if size < capacity:
+            if capacity - size >= least:
                 insort(room, (capacity - size, len(bins) - 1))
         else:
             free, i = room.pop(at)
             fill, held = bins[i]
             bins[i] = (fill + size, [*held, item])
-            if free > size:
+            if free - size >= least:
                 insort(room, (free - size, i))
     return bins
 
@@ -67,23 +73,28 @@ def fill_up(order: list[int], sizes: list[int], capacity: int, enough: int) -> l
 
     While the room would hold a third item, items are taken in turn; the last place
     goes to the single item or the pair that leaves least, found by binary search."""
-    loose = sorted((sizes[i], i) for i in order)
+    items = sorted(sorted(order), key=sizes.__getitem__)
+    loose = [sizes[i] for i in items]  # sizes of what is left, items beside them
     used: set[int] = set()
     bins: list[Bin] = []
     for seed in order:
         if seed in used:
             continue
         used.add(seed)
-        del loose[bisect_left(loose, (sizes[seed], seed))]
-        held, room = [seed], capacity - sizes[seed]
-        while loose and loose[0][0] <= room:
-            top = bisect_left(loose, (room + 1, -1)) - 1
-            best, take = room - loose[top][0], (top,)
-            if best > enough and top and best < 1.5 * loose[top][0]:
+        size = sizes[seed]
+        at = bisect_left(loose, size)
+        if items[at] != seed:
+            at = bisect_left(items, seed, at, bisect_right(loose, size, at))
+        del loose[at], items[at]
+        held, room = [seed], capacity - size
+        while loose and loose[0] <= room:
+            top = bisect_right(loose, room) - 1
+            best, take = room - loose[top], (top,)
+            if best > enough and top and best < 1.5 * loose[top]:
                 # for each larger one the largest that still fits beside it
                 i, j = 0, top
                 while i < j:
-                    left = room - loose[i][0] - loose[j][0]
+                    left = room - loose[i] - loose[j]
                     if left < 0:
                         j -= 1
                         continue
@@ -92,33 +103,35 @@ def fill_up(order: list[int], sizes: list[int], capacity: int, enough: int) -> l
                         if left <= enough:
                             break
                     i += 1
-                    if i < j and room - loose[i][0] - loose[j][0] >= 0:
+                    if i < j and room - loose[i] - loose[j] >= 0:
                         # jump to the last that fits beside j
-                        i = min(j - 1, bisect_left(loose, (room - loose[j][0] + 1, -1), i, j) - 1)
+                        i = min(j - 1, bisect_right(loose, room - loose[j], i, j) - 1)
             for k in take:
-                size, item = loose.pop(k)
+                room -= loose.pop(k)
+                item = items.pop(k)
                 used.add(item)
                 held.append(item)
-                room -= size
         bins.append((capacity - room, held))
     return bins
 
 
 def fitness(bins: list[Bin], capacity: int) -> float:
-    return sum(fill * fill for fill, _ in bins) / (len(bins) * capacity * capacity)
+    return sum([fill * fill for fill, _ in bins]) / (len(bins) * capacity * capacity)
 
 
 def crossover(giver: list[Bin], taker: list[Bin], sizes: list[int], capacity: int, take: int) -> list[Bin]:
     """The ``take`` best-filled containers of the giver, injected into the taker."""
     injected = giver[:take]
-    inside = {item for _, held in injected for item in held}
+    both = set(map(id, injected)).intersection(map(id, taker))  # containers that the parents share
+    others = [one for one in taker if id(one) not in both]
+    inside = {item for one in injected if id(one) not in both for item in one[1]}
     kept, displaced = list(injected), []
-    for one in taker:
+    for one in others:
         if inside.isdisjoint(one[1]):
             kept.append(one)
         else:
             displaced += [item for item in one[1] if item not in inside]
-    displaced.sort(key=lambda i: -sizes[i])
+    displaced.sort(key=sizes.__getitem__, reverse=True)
     return best_fit(displaced, sizes, capacity, kept)
 
 
@@ -154,13 +167,19 @@ class Island:
     def best(self) -> list[Bin]:
         return self.people[0][1]
 
+    @property
+    def standing(self) -> tuple[int, float]:
+        """Containers and fitness of the best packing; lower is better."""
+        fit, bins = self.people[0]
+        return len(bins), -fit
+
     @property
     def done(self) -> bool:
         return len(self.best) <= self.least
 
     def add(self, bins: list[Bin]) -> None:
         """A new packing; beyond the population the worst goes."""
-        bins.sort(key=lambda b: -b[0])
+        bins.sort(key=_fill, reverse=True)
         self.people.append((fitness(bins, self.capacity), bins))
         self.people.sort(key=lambda p: (len(p[1]), -p[0]))
         del self.people[self.population :]
@@ -171,21 +190,23 @@ class Island:
         i, j = (0, 0) if len(people) < 2 else sorted(rng.sample(range(len(people)), 2))
         taker, giver = people[i][1], people[j][1]
         child = crossover(giver, taker, self.sizes, self.capacity, max(1, len(giver) // 4))
-        child.sort(key=lambda b: -b[0])
-        self.add(mutate(child, self.sizes, self.capacity, rng, 0.1))
+        child.sort(key=_fill, reverse=True)
+        self.add(mutate(child, self.sizes, self.capacity, rng, rng.uniform(0.02, 0.1)))
 
     def receive(self, elite: list[Bin]) -> None:
         """Well-filled containers of another island are injected into the best packing."""
         self.add(crossover(elite, self.best, self.sizes, self.capacity, len(elite)))
 
 
-def evolve(sizes: list[int], capacity: int, seed: str, islands: int = 2, population: int = 2, generations: int = 2, epochs: int = 2) -> list[Bin]:
+def evolve(sizes: list[int], capacity: int, seed: str, islands: int = 2, population: int = 4, generations: int = 10, patience: int = 4) -> list[Bin]:
     """The best packing that the islands find, containers by falling fill.
 
-    Islands evolve apart; after each epoch the best fifth of each one's containers
-    goes to the next island of the ring. Ends early at the bound none can beat."""
+    Islands evolve apart; after each epoch of ``generations`` the best fifth of each one's
+    containers goes to the next island of the ring. There is no set number of epochs: evolution
+    ends at the bound none can beat, or once ``patience`` epochs in a row bring nothing better."""
     ring = [Island(sizes, capacity, random.Random(f"{seed}/{k}"), population) for k in range(islands)]
-    for _ in range(epochs):
+    best, idle = min(i.standing for i in ring), 0
+    while idle < patience and not any(i.done for i in ring):
         for island in ring:
             for _ in range(generations):
                 if any(i.done for i in ring):
@@ -197,7 +218,9 @@ def evolve(sizes: list[int], capacity: int, seed: str, islands: int = 2, populat
         for k, elite in enumerate(elites):
             if len(ring) > 1:
                 ring[(k + 1) % len(ring)].receive(elite)
-    return min(ring, key=lambda i: (len(i.best), -i.people[0][0])).best
+        now = min(i.standing for i in ring)
+        best, idle = (now, 0) if now < best else (best, idle + 1)
+    return min(ring, key=lambda i: i.standing).best
 
 
 def with_parts(items: DataFrame, item: str, key: str, length_ms: str, capacity_ms: str) -> DataFrame:
@@ -216,20 +239,23 @@ def with_parts(items: DataFrame, item: str, key: str, length_ms: str, capacity_m
     )
 
 
-def _round(df: DataFrame, item: str, key: str, elite: float, last: bool, seed: str, effort: dict) -> DataFrame:
-    """Evolves every share. container is NULL for items that migrate."""
-    rows = df.repartition(key, "share").sortWithinPartitions(key, "share", item, "part")
+def _round(df: DataFrame, item: str, key: str, elite: float, seed: str, effort: dict) -> DataFrame:
+    """Evolves every share. settled: the container is full enough to stay; first: one row of each container."""
+    # a number of its own, as adaptive execution would join partitions by their few bytes, however long they evolve
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(tasks, key, "share").sortWithinPartitions(key, "share", item, "part")
     names = [item, key, "part", "parts", "start_ms", "end_ms", "capacity_ms", "share"]
 
-    def solve(table: pa.Table) -> list[str | None]:
+    def solve(table: pa.Table) -> dict[str, list]:
         name, place, capacity = (table.column(i)[0].as_py() for i in (1, 7, 6))
         sizes = (table.column(5).to_numpy() - table.column(4).to_numpy()).tolist()
-        out: list[str | None] = [None] * len(sizes)
+        container, settled, first = [""] * len(sizes), [False] * len(sizes), [False] * len(sizes)
         for k, (fill, held) in enumerate(evolve(sizes, capacity, f"{seed}/{name}/{place}", **effort)):
-            if last or fill >= elite * capacity:
-                for i in held:
-                    out[i] = f"{name}/{seed}/{place}/{k}"
-        return out
+            first[held[0]] = True
+            for i in held:
+                container[i] = f"{name}/{seed}/{place}/{k}"
+                settled[i] = fill >= elite * capacity
+        return {"container": container, "settled": settled, "first": first}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -243,7 +269,8 @@ def _round(df: DataFrame, item: str, key: str, elite: float, last: bool, seed: s
                 edges.pop()  # the last share may go on in the next batch
             for a, b in zip(edges, edges[1:]):
                 part = table.slice(a, b - a)
-                part = part.append_column("container", pa.array(solve(part), pa.string()))
+                for column, values in solve(part).items():
+                    part = part.append_column(column, pa.array(values))
                 yield from part.combine_chunks().to_batches()
             waiting[:] = table.slice(edges[-1]).to_batches() if not final else []
 
@@ -254,7 +281,7 @@ def _round(df: DataFrame, item: str, key: str, elite: float, last: bool, seed: s
         if waiting:
             yield from shares(True)
 
-    schema = rows.select(*names).withColumn("container", F.lit(None).cast("string")).schema
+    schema = rows.select(*names).schema.add("container", "string").add("settled", "boolean").add("first", "boolean")
     return rows.select(*names).mapInArrow(run, schema)
 
 
@@ -265,13 +292,12 @@ def pack(
     key: str = "dataset",
     length_ms: str = "length_ms",
     capacity_ms: str = "capacity_ms",
-    elite: float = 0.995,
+    elite: float = 0.998,
     share_items: int = SHARE_ITEMS,
-    rounds: int = 3,
     islands: int = 2,
-    population: int = 2,
-    generations: int = 2,
-    epochs: int = 2,
+    population: int = 4,
+    generations: int = 10,
+    patience: int = 4,
     seed: str = "pack",
 ) -> DataFrame:
     """container, ``item``, ``key``, part, parts, start_ms, end_ms of every part.
@@ -290,18 +316,27 @@ def pack(
     full = F.when(F.col("end_ms").isNotNull(), F.concat_ws("/", key, F.lit("full"), item, F.col("part").cast("string")))
     done = parts.where(~F.coalesce(to_pack, F.lit(False))).select(full.alias("container"), *out)
     moving = parts.where(to_pack)
-    effort = {"islands": islands, "population": population, "generations": generations, "epochs": epochs}
-    for k in range(1, rounds + 1):
+    effort = {"islands": islands, "population": population, "generations": generations, "patience": patience}
+    k = settled = 0
+    best: tuple[int, DataFrame] | None = None  # containers, and the rows of those that haven't settled
+    while True:
+        k += 1
         shares = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(share_items)), F.lit(1)).alias("shares")
         count = F.broadcast(moving.groupBy(key).agg(shares))  # at most one row per limit
         draw = F.xxhash64(F.lit(f"{seed}-{k}"), item, "part")
         dealt = moving.join(count, key).withColumn("share", F.pmod(draw, F.col("shares")))
-        evolved = _round(dealt, item, key, elite, k == rounds, f"{seed}-{k}", effort)
-        if k < rounds:
-            evolved = cut(evolved)
-            moving = evolved.where("container is null").drop("container", "share")
-        done = done.unionByName(evolved.where("container is not null").select("container", *out))
-    return done
+        evolved = cut(_round(dealt, item, key, elite, f"{seed}-{k}", effort))
+        found = {r.settled: r.n for r in evolved.where("first").groupBy("settled").agg(F.count(F.lit(1)).alias("n")).collect()}
+        containers = settled + sum(found.values())
+        if best and containers >= best[0]:
+            break  # the open containers of the round before stay as they are
+        settled += found.get(True, 0)
+        done = done.unionByName(evolved.where("settled").select("container", *out))
+        best = containers, evolved.where("not settled").select("container", *out)
+        if not found.get(False):
+            break
+        moving = evolved.where("not settled").drop("container", "settled", "first", "share", "shares")
+    return done.unionByName(best[1])
 
 
 def divided(packed: DataFrame, item: str = "instance_id") -> DataFrame:
